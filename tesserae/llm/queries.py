@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from tesserae.llm import mixing, sharding
+from tesserae.llm import licenses, mixing, packing, sharding
 from tesserae.llm.common import table
 
 
+def word_tokenizer() -> str:
+    """The tokenizer file of op10 and the pipeline."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_license_notices(spark, sf_dir):
+    return licenses.license_digest(table(spark, sf_dir, "documents"))
+
+
 def op7_jump_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -14,7 +25,11 @@ def op8_source_mixing(spark, sf_dir):
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_jump_sharding, op8_source_mixing)}
+def op10_vector_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
+QUERIES = {f.__name__: f for f in (op4_license_notices, op7_jump_sharding, op8_source_mixing, op10_vector_packing)}
 
 #: Targets by the level at which the sources are full; the permuted stream by md5, as in the operator.
 OP8_SQL = r"""
