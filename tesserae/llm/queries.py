@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tesserae.llm import licenses, mixing, packing, sharding
+from fractions import Fraction
+
+from tesserae.llm import licenses, mixing, neardup, packing, sharding
 from tesserae.llm.common import table
 
 
@@ -13,6 +15,10 @@ def word_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_bottomk_neardup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, threshold=Fraction(85, 100))
+
+
 def op4_license_notices(spark, sf_dir):
     return licenses.license_digest(table(spark, sf_dir, "documents"))
 
@@ -29,7 +35,7 @@ def op10_vector_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op4_license_notices, op7_jump_sharding, op8_source_mixing, op10_vector_packing)}
+QUERIES = {f.__name__: f for f in (op2_bottomk_neardup, op4_license_notices, op7_jump_sharding, op8_source_mixing, op10_vector_packing)}
 
 #: Targets by the level at which the sources are full; the permuted stream by md5, as in the operator.
 OP8_SQL = r"""
