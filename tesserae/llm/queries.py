@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from tesserae.llm import licenses, mixing, neardup, packing, sharding
+from tesserae.llm import language, licenses, mixing, neardup, packing, quality, sharding
 from tesserae.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_bottomk_neardup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, threshold=Fraction(85, 100))
 
 
+def op3_language_spans(spark, sf_dir):
+    return language.predict(table(spark, sf_dir, "documents"))
+
+
 def op4_license_notices(spark, sf_dir):
     return licenses.license_digest(table(spark, sf_dir, "documents"))
 
@@ -31,11 +35,15 @@ def op8_source_mixing(spark, sf_dir):
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_kneser_ney_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_vector_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op2_bottomk_neardup, op4_license_notices, op7_jump_sharding, op8_source_mixing, op10_vector_packing)}
+QUERIES = {f.__name__: f for f in (op2_bottomk_neardup, op3_language_spans, op4_license_notices, op7_jump_sharding, op8_source_mixing, op9_kneser_ney_quality, op10_vector_packing)}
 
 #: Targets by the level at which the sources are full; the permuted stream by md5, as in the operator.
 OP8_SQL = r"""
