@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: A word is a run of other characters than ASCII white space.
@@ -98,3 +97,16 @@ def running_total(df: DataFrame, groups: list[str], rank: str, ties: list[str],
     summed = rows.withColumn("_within", F.coalesce(F.sum(size).over(within), F.lit(0)).cast("long"))
     joined = summed.join(starts, [*keys, "_bucket"])
     return joined.withColumn(out, F.col("_start") + F.col("_within")).drop("_start", "_within", "_bucket", *keys)
+
+
+class Shield:
+    """Gives the columns that an operator does not read names of their own, so that none clashes with its own columns."""
+
+    def __init__(self, df: DataFrame, needed: list[str]):
+        self.names = df.columns
+        self.inner = {n: n if n in needed else f"__c{i}" for i, n in enumerate(self.names)}
+        self.df = df.toDF(*self.inner.values())
+
+    def back(self, df: DataFrame) -> DataFrame:
+        """The original columns alone, under their names."""
+        return df.select(*[F.col(k).alias(n) for n, k in self.inner.items()])

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tesserae.llm.common import Shield
+
 SWITCH, CLIP = 12.0, -8.0
 MAX_GRAMS, MAX_LANGUAGES = 200_000, 256
 #: A language writes a script that has this share of its words.
@@ -263,4 +265,6 @@ def predict(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents with one known language for most of their letters, with their own columns."""
     counts = learn(docs.where(~held_out(F.col("doc_id"))).select("text", "lang"))
-    return label_spans(docs, counts, spans=False).where((F.col("_lang") != UNKNOWN) & (F.col("_share") >= LEAST_SHARE)).select(*docs.columns)
+    shield = Shield(docs, ["text"])
+    found = label_spans(shield.df, counts, spans=False)
+    return shield.back(found.where((F.col("_lang") != UNKNOWN) & (F.col("_share") >= LEAST_SHARE)))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tesserae.llm.common import Scratch, n_words, running_total, unit_hash
+from tesserae.llm.common import GAP, Scratch, Shield, n_words, running_total, unit_hash
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
@@ -120,6 +120,21 @@ def mixed_segments(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return rows.withColumn("_p", F.explode(passes)).select("*", "_p.pass", "_p.n_taken").where("n_taken > 0").drop("_p", "_whole", "_part", "_rank")
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix as documents, with the columns of docs: a row for each pass over a document; where a source's quota ends
+    within a document, its first words only, joined by blanks, with n_chars (if there) of what is left."""
+    shield = Shield(docs, ["doc_id", "text", "source", "n_chars"])
+    keep = [c for c in shield.df.columns if c not in ("doc_id", "source")]
+    rows = mixed_segments(shield.df, keep)
+    words = F.filter(F.split("text", GAP), lambda w: w != "")
+    first = F.array_join(F.slice(words, F.lit(1), F.col("n_taken").cast("int")), " ")
+    cut = F.col("n_taken") < F.col("size")
+    rows = rows.withColumn("text", F.when(cut, first).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return shield.back(rows)
+
+
 def mix_to_shards(spark: SparkSession, docs: DataFrame, shards: int = 8, seed: int = 7, block: int = BLOCK) -> DataFrame:
     """The mix as word ranges: shard, place (in the shard's own shuffle), doc_id, source, first_word, n_words.
 

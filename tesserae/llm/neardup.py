@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import Scratch
+from tesserae.llm.common import Scratch, Shield
 from tesserae.llm.wordhash import set_prints, shingle_sets, slices
 
 #: Values that a sketch retains.
@@ -198,3 +198,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: Fraction = Fract
     out = all_docs.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     own_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", own_id.alias("component_id"), F.col("doc_id").eqNullSafe(own_id).alias("kept"))
+
+
+def representatives(docs: DataFrame, **options) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest doc_id, with its own columns."""
+    shield = Shield(docs, ["doc_id", "text"])
+    kept = near_duplicates(shield.df, **options).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    own = shield.df.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return shield.back(own.dropDuplicates(["doc_id"]))

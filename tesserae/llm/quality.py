@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import Scratch
+from tesserae.llm.common import Scratch, Shield
 from tesserae.llm.wordhash import slices
 
 ORDER = 5
@@ -274,4 +274,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier accepts, with their own columns."""
-    return add_perplexity(docs, labels).where("_accepted").select(*docs.columns)
+    shield = Shield(docs, ["doc_id", "text", "lang"])
+    return shield.back(add_perplexity(shield.df, labels).where("_accepted"))
