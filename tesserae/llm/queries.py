@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from tesserae.llm import ann, language, licenses, mixing, neardup, packing, quality, sharding
+from tesserae.llm import ann, extraction, language, licenses, mixing, neardup, packing, quality, sharding
 from tesserae.llm.common import table
 
 
@@ -15,6 +15,10 @@ def word_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_dom_trees(spark, sf_dir):
+    return extraction.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_bottomk_neardup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, threshold=Fraction(85, 100))
 
@@ -48,7 +52,7 @@ def op10_vector_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op2_bottomk_neardup, op3_language_spans, op4_license_notices, op6_multi_index_hashing, op7_jump_sharding, op8_source_mixing, op9_kneser_ney_quality, op10_vector_packing)}
+QUERIES = {f.__name__: f for f in (op1_dom_trees, op2_bottomk_neardup, op3_language_spans, op4_license_notices, op6_multi_index_hashing, op7_jump_sharding, op8_source_mixing, op9_kneser_ney_quality, op10_vector_packing)}
 
 #: Targets by the level at which the sources are full; the permuted stream by md5, as in the operator.
 OP8_SQL = r"""
