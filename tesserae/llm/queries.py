@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from tesserae.llm import ann, extraction, language, licenses, mixing, neardup, packing, quality, sharding
+from tesserae.llm import ann, extraction, language, licenses, media, mixing, neardup, packing, quality, sharding
 from tesserae.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op4_license_notices(spark, sf_dir):
     return licenses.license_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_chunked_media(spark, sf_dir):
+    return media.media_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_multi_index_hashing(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
@@ -52,7 +56,7 @@ def op10_vector_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op1_dom_trees, op2_bottomk_neardup, op3_language_spans, op4_license_notices, op6_multi_index_hashing, op7_jump_sharding, op8_source_mixing, op9_kneser_ney_quality, op10_vector_packing)}
+QUERIES = {f.__name__: f for f in (op1_dom_trees, op2_bottomk_neardup, op3_language_spans, op4_license_notices, op5_chunked_media, op6_multi_index_hashing, op7_jump_sharding, op8_source_mixing, op9_kneser_ney_quality, op10_vector_packing)}
 
 #: Targets by the level at which the sources are full; the permuted stream by md5, as in the operator.
 OP8_SQL = r"""
