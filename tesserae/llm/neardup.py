@@ -7,8 +7,9 @@
    to index each node's first (size - least_shared + 1): the prefix. Passages that many documents share are frequent and fall out.
 3. In each inverted list the node with the most shared values is the centre; the others are paired with it (a star, never
    all pairs). Estimates of the union's sketch filter; full sets, made again from the texts, verify.
-4. Verified links give components; lists whose nodes lie in one component are done. The rest go round again with other
-   centres, and at last by pairs of nodes in different components, so no link between different texts is lost.
+4. Verified links give components; lists whose nodes lie in one component are done. Nodes of the others (a small rest) are
+   compared by full sets: prefixes that are exact for each class of sizes give the pairs of different components that may
+   still be similar, and these are verified like the rest. So no link that joins components is lost.
 
 Nothing of a size that grows with the corpus comes to the driver. Hot values, centres and copies are pre-aggregated
 or meet in joins that adaptive execution splits.
@@ -34,8 +35,8 @@ from tesserae.llm.wordhash import set_prints, shingle_sets, slices
 
 #: Values that a sketch retains.
 RETAINED = 64
-#: Rounds of stars before pairs of components.
-STARS = 2
+#: Ratio of neighbouring classes of size.
+CLASS = 1.02
 #: Probability with which a link may share fewer sketch values than least_shared says.
 MISS = 1e-10
 
@@ -99,6 +100,50 @@ def verified(pairs: DataFrame, words: int, threshold: Fraction) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def full_sets(texts: DataFrame, words: int) -> DataFrame:
+    """node, n, value: every shingle of each text (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [t.encode() for t in batch.column(1).to_pylist()]
+            for lo, hi in slices(raw):
+                sets = shingle_sets(raw[lo:hi], words)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(sets, pa.list_(pa.int64()))], names=["node", "values"])
+
+    rows = texts.mapInArrow(run, "node long, values array<long>")
+    return rows.select("node", F.size("values").alias("n"), F.explode("values").alias("value"))
+
+
+def exact_candidates(shingles: DataFrame, labels: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that may be similar, by prefixes of full sets and classes of size.
+
+    For sizes x >= y, similar sets share o = ceil(t / (1 + t) * (x + y)) shingles or more, so the first x - o + 1 and y - o + 1
+    in the common order (rare first) meet. The smaller one is indexed under its class of size, for which x = y is the
+    worst case; the larger asks each class down to t * x, with a prefix for that class alone.
+    """
+    num, den = threshold.numerator, threshold.denominator
+    often = shingles.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    met = shingles.join(often, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("met"))
+    placed = met.select("node", "n", (F.col("n") - F.size("met")).alias("_alone"), F.posexplode("met").alias("_at", "m")).select("node", "n", F.col("m.value").alias("value"), (F.col("_alone") + F.col("_at") + 1).alias("rank"))
+    placed = placed.join(labels, "node")
+
+    def need(x: Column, y: Column) -> Column:
+        return F.floor((num * (x + y) + num + den - 1) / F.lit(num + den))
+
+    n, log = F.col("n"), math.log(CLASS)
+    size_class = lambda size: F.floor(F.log(size) / F.lit(log) + 1e-9)
+    index = placed.where(F.col("rank") <= n - need(n, n) + 1).select("value", size_class(n).alias("_class"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
+    least = F.ceil(n * num / F.lit(den))
+    asked = placed.where(F.col("rank") <= n - need(n, least) + 1)
+    asked = asked.withColumn("_class", F.explode(F.sequence(size_class(least), size_class(n))))
+    smallest = F.greatest(least, F.floor(F.pow(F.lit(CLASS), F.col("_class")) - 1e-6))
+    asked = asked.where(F.col("rank") <= n - need(n, smallest) + 1).select("value", "_class", F.col("node").alias("a"), n.alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"))
+    shared = need(F.col("na"), F.col("nb"))
+    fits = (F.col("ca") != F.col("cb")) & (F.col("nb") * den >= F.col("na") * num) & ((F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a"))))
+    fits = fits & (F.col("ra") <= F.col("na") - shared + 1) & (F.col("rb") <= F.col("nb") - shared + 1)
+    return asked.join(index, ["value", "_class"]).where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def shared_in_union(a: Column, b: Column, retained: int) -> Column:
     """How many of the union's `retained` smallest values both sketches hold."""
     return F.size(F.array_intersect(F.array_intersect(F.slice(F.array_sort(F.array_union(a, b)), 1, retained), a), b))
@@ -154,6 +199,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: Fraction = Fract
     kept = F.when(prefix > 0, F.slice(F.array_sort("met"), F.lit(1), F.greatest(prefix, F.lit(1))))
     lists = scratch.save(met.select("node", "n", F.size("met").alias("common"), F.explode(kept).alias("m")).select("node", "n", "common", F.col("m.value").alias("value")), "lists")
 
+    def texts_of(some: DataFrame) -> DataFrame:
+        """node, text of its document with the smallest id."""
+        reps = some.join(nodes, "node").select("node", F.col("rep").alias("doc_id"))
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(reps, "doc_id").dropDuplicates(["node"]).select("node", "text")
+
     def confirm(pairs: DataFrame, tag: str) -> DataFrame:
         """Links among candidate pairs (a, b): sizes, then the estimate, then full sets."""
         left = held.select(F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
@@ -163,32 +213,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: Fraction = Fract
         union = F.size(F.array_union("sa", "sb"))
         sound = F.when((F.col("na") <= retained) & (F.col("nb") <= retained), both * den >= F.least(union, F.lit(retained)) * num - den).otherwise(both >= shared)
         hopeful = scratch.save(near.where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).where(sound).select("a", "b"), f"{tag}-pairs")
-        used = hopeful.select(F.col("a").alias("node")).union(hopeful.select("b")).distinct()
-        reps = used.join(nodes, "node").select("node", F.col("rep").alias("doc_id"))
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(reps, "doc_id").dropDuplicates(["node"])
+        texts = texts_of(hopeful.select(F.col("a").alias("node")).union(hopeful.select("b")).distinct())
         a, b = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         return scratch.save(verified(hopeful.join(a, "a").join(b, "b"), words, threshold), f"{tag}-links")
 
-    links, found, tried = None, None, []
-    open_lists = lists.select("value", "node", "n", "common", F.col("node").alias("component"))
-    for k in range(STARS + 1):
-        many = open_lists.groupBy("value").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("value")
-        open_lists = scratch.save(open_lists.join(many, "value", "left_semi"), f"open{k}")
-        if open_lists.isEmpty():
-            break
-        if k < STARS:
-            order = F.struct("common", "node") if k == 0 else F.struct(F.xxhash64("node", F.lit(k)), F.col("node"))
-            centre = open_lists.groupBy("value").agg(F.max(F.struct(order.alias("o"), F.col("node"), F.col("component"))).alias("c")).select("value", F.col("c.node").alias("b"), F.col("c.component").alias("_of"))
-            pairs = open_lists.join(centre, "value").where("component <> _of").select(F.col("node").alias("a"), "b")
-        else:
-            other = open_lists.select("value", F.col("node").alias("b"), F.col("component").alias("_of"), F.col("n").alias("_n"))
-            near = (F.col("n") <= F.col("_n")) & (F.col("n") * den >= F.col("_n") * num) & ((F.col("n") < F.col("_n")) | (F.col("node") < F.col("b")))
-            pairs = open_lists.join(other, "value").where((F.col("component") != F.col("_of")) & near).select(F.col("node").alias("a"), "b")
-        new = confirm(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), f"round{k}")
-        links = new if links is None else links.unionByName(new)
-        found = components(links, scratch, f"round{k}")
-        label = found.select("node", F.col("component").alias("_c"))
-        open_lists = open_lists.join(label, "node", "left").select("value", "node", "n", "common", F.coalesce("_c", "component").alias("component"))
+    # stars: each list's nodes with the one that shares most, as long as that is no pair of one component
+    start = lists.select("value", "node", "common")
+    many = start.groupBy("value").agg(F.count("*").alias("_n")).where("_n > 1").select("value")
+    open_lists = scratch.save(start.join(many, "value", "left_semi"), "open")
+    found = None
+    if not open_lists.isEmpty():
+        centre = open_lists.groupBy("value").agg(F.max(F.struct("common", "node")).alias("c")).select("value", F.col("c.node").alias("b"))
+        pairs = open_lists.join(centre, "value").where("node <> b").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+        links = confirm(pairs, "stars")
+        found = components(links, scratch, "stars")
+        label = found.select("node", "component")
+        told = open_lists.join(label, "node", "left").select("value", "node", F.coalesce("component", "node").alias("component"))
+        mixed = told.groupBy("value").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("value")
+        rest = scratch.save(told.join(mixed, "value", "left_semi").select("node", "component").distinct(), "rest")
+        if not rest.isEmpty():
+            pairs = scratch.save(exact_candidates(full_sets(texts_of(rest), words), rest, threshold), "rest-candidates")
+            found = components(links.unionByName(confirm(pairs, "rest")), scratch, "rest")
     if found is None:
         of = nodes.select("node", "rep", F.col("node").alias("component"))
     else:
