@@ -94,8 +94,9 @@ def partial(left: list[str], right: list[str]) -> np.ndarray:
             m, held = len(s), set(s)
             for k in range(1 - m, len(t)):
                 window = t[max(0, k) : k + m]
-                # a best window begins and ends with a character that the shorter string has
-                if (k < 0 or window[0] in held) and (k + m > len(t) or window[-1] in held):
+                # a window that ends in a character foreign to the shorter string is no better than the one before it
+                # (at the right end: one that begins so, than the one after it)
+                if (window[-1] if k + m <= len(t) else window[0]) in held:
                     pairs_a.append(window), pairs_b.append(s), owner.append(i)
     out = np.array([float(not a and not b) for a, b in zip(left, right)])
     if owner:

@@ -199,7 +199,7 @@ VIEWS: dict[str, str] = {
     "sets": f"SELECT *, {_tok(_N1)} AS namex, {_tok(_N2)} AS namey, {_tok(_A1)} AS addressx, {_tok(_A2)} AS addressy, {_nums(_A1)} AS nx, {_nums(_A2)} AS ny, {_long(_A1)} AS dx, {_long(_A2)} AS dy FROM rec",
     "scored": f"SELECT {_K}, candidate_source, is_match, round({_LINEAR}, 6) AS probability FROM sets",
     "split": f"SELECT source1_entity_id, CASE WHEN row_number() OVER (ORDER BY {_md5(42, 'source1_entity_id')}, source1_entity_id) <= greatest(1, floor((SELECT count(*) FROM er_source1) * 0.2::DOUBLE)) THEN 'validation' ELSE 'train' END AS part FROM gt_text",
-    "decided": "SELECT * FROM scored WHERE probability >= 0.5",
+    "decided": "SELECT * FROM scored WHERE probability >= 0.25",
     "ent": f"""SELECT *, n_predicted - tp AS fp, n_actual - tp AS fn, round({_PRECISION}, 6) AS precision, round({_RECALL}, 6) AS recall, round({_FSCORE}, 6) AS f05, {_PRECISION} AS p_, {_RECALL} AS r_, {_FSCORE} AS f_, CAST(n_actual = 0 AS BIGINT) AS is_singleton, CAST(n_actual = 0 AND n_predicted = 0 AS BIGINT) AS singleton_correct
  FROM (SELECT g.source1_entity_id, any_value(len(g.matched)) AS n_actual, count(DISTINCT d.candidate_entity_id) AS n_predicted, count(DISTINCT d.candidate_entity_id) FILTER (list_contains(g.matched, d.candidate_entity_id)) AS tp FROM gt g LEFT JOIN decided d ON g.source1_entity_id = d.source1_entity_id GROUP BY 1)""",
     "percand": "SELECT source1_entity_id, count(*) AS c FROM cand GROUP BY 1",
@@ -207,7 +207,7 @@ VIEWS: dict[str, str] = {
     "rates": "SELECT count(*) FILTER (hit) / count(*)::DOUBLE AS overall, count(*) FILTER (hit AND two) / (count(*) FILTER (two))::DOUBLE AS s2, count(*) FILTER (hit AND NOT two) / (count(*) FILTER (NOT two))::DOUBLE AS s3, count(*) FILTER (hit) AS found, count(*) AS total FROM hits",
     "space": "SELECT (SELECT count(*) FROM er_source1) * ((SELECT count(*) FROM er_source2) + (SELECT count(*) FROM er_source3)) AS n, (SELECT count(*) FROM cand) AS c",
     **_score_cte("ns", "business_name_norm"), **_score_cte("ads", "business_address_norm"),
-    "told": "SELECT s.source1_entity_id, s.candidate_entity_id, s.candidate_source, s.probability, CAST(s.probability >= 0.5 AS BIGINT) AS predicted_match, CAST(list_contains(g.matched, s.candidate_entity_id) AS BIGINT) AS is_true_match, len(g.matched) AS n FROM scored s JOIN gt g ON s.source1_entity_id = g.source1_entity_id",
+    "told": "SELECT s.source1_entity_id, s.candidate_entity_id, s.candidate_source, s.probability, CAST(s.probability >= 0.25 AS BIGINT) AS predicted_match, CAST(list_contains(g.matched, s.candidate_entity_id) AS BIGINT) AS is_true_match, len(g.matched) AS n FROM scored s JOIN gt g ON s.source1_entity_id = g.source1_entity_id",
     "swept": _sweep(),
     "easy": f"SELECT * FROM lab WHERE is_match = 0 ORDER BY {_PAIR_HASH(42)}, {_K} LIMIT 200",
     "vlines": """SELECT source1_entity_id AS s1, matched_entity_ids AS rest FROM gt_text WHERE right(source1_entity_id, 1) <> '3' UNION ALL VALUES ('S1-000000001', 'S2-000000002,S2-000000002'), ('S1-999999999', 'S1-000000001,X-1,S2-999999999')""",
@@ -255,9 +255,9 @@ _CHARS = "flatten(list_transform([2, 3, 4], lambda n: list_transform(range(1, gr
 _WORDS = r"list_concat(regexp_extract_all(t, '\b\w\w+\b'), list_transform(range(1, greatest(len(regexp_extract_all(t, '\b\w\w+\b')), 1)), lambda i: concat(regexp_extract_all(t, '\b\w\w+\b')[i], ' ', regexp_extract_all(t, '\b\w\w+\b')[i + 1])))"
 
 
-def _fuzzy(column: str) -> tuple[str, str]:
-    return f"SELECT source1_entity_id, candidate_entity_id, 'S3' AS candidate_source FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY s DESC, candidate_entity_id) AS r FROM fz3 WHERE s >= 0.8 - 1e-12) WHERE r <= 10", f"""
- fz1 AS (SELECT x.entity_id AS source1_entity_id, y.entity_id AS candidate_entity_id, {_sorted('x.' + column)} AS a, {_sorted('y.' + column)} AS b FROM c1 x JOIN c3 y ON x.country_norm = y.country_norm
+def _fuzzy(column: str, n: int) -> tuple[str, str]:
+    return f"SELECT source1_entity_id, candidate_entity_id, 'S{n}' AS candidate_source FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY s DESC, candidate_entity_id) AS r FROM fz3 WHERE s >= 0.8 - 1e-12) WHERE r <= 10", f"""
+ fz1 AS (SELECT x.entity_id AS source1_entity_id, y.entity_id AS candidate_entity_id, {_sorted('x.' + column)} AS a, {_sorted('y.' + column)} AS b FROM c1 x JOIN c{n} y ON x.country_norm = y.country_norm
   WHERE len(x.{column}) >= 4 AND y.{column} <> '' AND 3 * least(len(x.{column}), len(y.{column})) >= 2 * greatest(len(x.{column}), len(y.{column}))),
  fz2 AS (SELECT a, b, {_lcs('a', 'b')} AS l FROM (SELECT DISTINCT a, b FROM fz1)),
  fz3 AS (SELECT fz1.*, 2.0::DOUBLE * l / (len(fz1.a) + len(fz1.b)) AS s FROM fz1 JOIN fz2 ON fz1.a = fz2.a AND fz1.b = fz2.b)"""
@@ -301,8 +301,8 @@ _FINAL: dict = {
     "block_numeric_address": f"SELECT DISTINCT * FROM ({_PASSES['numeric']})",
     "block_rare_name_token": _rare("business_name_norm", 2, "S2", 100),
     "block_rare_address_token": _rare("business_address_norm", 2, "S2", 100),
-    "block_fuzzy_name": _fuzzy("business_name_norm"),
-    "block_fuzzy_address": _fuzzy("business_address_norm"),
+    "block_fuzzy_name": _fuzzy("business_name_norm", 3),
+    "block_fuzzy_address": _fuzzy("business_address_norm", 2),
     "block_all": "SELECT DISTINCT * FROM (SELECT * FROM cand UNION ALL " + " UNION ALL ".join(_rare(c, n, f"S{n}", 100) for c in ("business_name_norm", "business_address_norm") for n in (2, 3)) + ")",
     "token_frequency": f"SELECT w AS token, count(*) AS n FROM (SELECT unnest({_tok('business_name_norm')}) AS w FROM c2) WHERE len(w) >= 4 GROUP BY w",
     "label_candidates": "SELECT * FROM lab",

@@ -25,7 +25,7 @@ from tesserae.sources.fixture import tables
 
 #: Decimals to which both engines round.
 DECIMALS = 6
-THRESHOLD = 0.5
+THRESHOLD = 0.25
 #: Occurrences of a token in the target up to which it brings candidates.
 RARE = 20
 
@@ -234,7 +234,7 @@ def block_fuzzy_name(t):
 
 @query
 def block_fuzzy_address(t):
-    return B.fuzzy(t.clean["s1"], t.clean["s3"], "business_address_norm", "S3")
+    return B.fuzzy(t.clean["s1"], t.clean["s2"], "business_address_norm", "S2")
 
 
 @query
