@@ -2,7 +2,8 @@
 
 Texts are lower-cased (A-Z) and reduced to words, joined by a blank. A notice of L characters may differ by k edits:
 split into k + 1 parts, one part at least occurs unchanged (pigeonhole). One automaton over all parts of all notices finds
-these seeds; each gives the place where its notice would begin; places within k of each other form one window, in which
+these seeds; each gives the place where its notice would begin; places within k of each other form one window. A
+window that holds the notice, or enough of its 3-grams (an edit spoils three), goes on; there
 the regex library's bounded-error matching confirms the notice, counts the edits and gives the span. No notice within
 its bound is missed, and a window is never longer than the notice and a few times k.
 
@@ -39,6 +40,8 @@ NOTICES = (
 )
 #: One edit is allowed for so many characters of a notice.
 CHARS_PER_EDIT = 12
+#: Length of the grams that a window must mostly hold before the costly match.
+GRAM = 3
 
 _DELIMITERS = bytes(range(0x30)) + bytes(range(0x3A, 0x61)) + bytes(range(0x7B, 0x80))
 #: A-Z to a-z, what is in no word to a blank; bytes of other characters stay.
@@ -57,7 +60,10 @@ def _machine(notices: tuple[tuple[str, str], ...], per_edit: int):
     machine, rules, seeds = ahocorasick.Automaton(), [], {}
     for i, (notice, label) in enumerate(notices):
         edits = max(1, len(notice) // per_edit)
-        rules.append((label, len(notice), edits, regex.compile(f"(?b)(?:{regex.escape(notice, special_only=True)}){{e<={edits}}}")))
+        rule = regex.compile(f"(?b)(?:{regex.escape(notice, special_only=True)}){{e<={edits}}}")
+        grams = [notice[j : j + GRAM] for j in range(len(notice) - GRAM + 1)]
+        # an edit spoils GRAM of them at most
+        rules.append((label, notice, edits, rule, grams, len(grams) - GRAM * edits))
         for p in range(edits + 1):
             lo, hi = p * len(notice) // (edits + 1), (p + 1) * len(notice) // (edits + 1)
             seeds.setdefault(notice[lo:hi], []).append((i, hi))
@@ -76,7 +82,7 @@ def find_notices(text: str, notices=NOTICES, per_edit: int = CHARS_PER_EDIT) ->
             begins.setdefault(i, []).append(last + 1 - hi)
     found: set[tuple[str, int, int, int]] = set()
     for i, at in begins.items():
-        label, length, edits, rule = rules[i]
+        label, notice, edits, rule, grams, least = rules[i]
         at.sort()
         k = 0
         while k < len(at):
@@ -85,8 +91,11 @@ def find_notices(text: str, notices=NOTICES, per_edit: int = CHARS_PER_EDIT) ->
                 high = at[k]
                 k += 1
             lo = max(0, low - edits)
-            if m := rule.search(text, lo, high + length + edits + 1):
-                found.add((label, m.start(), m.end(), sum(m.fuzzy_counts)))
+            window = text[lo : high + len(notice) + edits + 1]
+            if (at_once := window.find(notice)) >= 0:
+                found.add((label, lo + at_once, lo + at_once + len(notice), 0))
+            elif sum(g in window for g in grams) >= least and (m := rule.search(window)):
+                found.add((label, lo + m.start(), lo + m.end(), sum(m.fuzzy_counts)))
     kept: dict[str, tuple[str, int, int, int]] = {}
     out = []
     for span in sorted(found, key=lambda f: (f[0], f[1], f[3])):  # of two that overlap, the one with fewer edits
