@@ -15,7 +15,11 @@ a very long text is cut into pieces of `capacity` ids, the last may be shorter;
 
 from __future__ import annotations
 
+import json
+import sys
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +32,7 @@ from tesserae.llm.common import Scratch
 
 GROUP = 8192
 #: Entries of a worker's cache of encoded runs.
-CACHE = 500_000
+CACHE = 700_000
 #: Bytes of text that are encoded at once.
 SLICE = 2_000_000
 
@@ -60,13 +64,33 @@ class RunEncoder:
         self.mark, self.mark_id = special[0] if special else (None, None)
         #: whether ASCII letters may be lowered before the cache is asked
         self.lowers = self.whole("AQ") == self.whole("aq")
+        #: whether a run of lower-case letters is one word of the model, spelled in the byte alphabet
+        rules = json.loads(self.tokenizer.to_str())
+        kinds = json.dumps([rules.get("normalizer"), rules.get("pre_tokenizer")])
+        self.direct = self.lowers and '"ByteLevel"' in kinds and '"NFC"' in kinds and r"|[\\p{L}]+|" in kinds
         self.clues = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _encode(self, runs: list[bytes]) -> list[bytes]:
-        texts = [r.decode() for r in runs]
+        """Ids of each run; letters alone go straight to the model, without the steps that would not change them."""
+        texts, out, rest = [r.decode() for r in runs], [b""] * len(runs), []
+        tokenize = self.tokenizer.model.tokenize
+        for i, (raw, t) in enumerate(zip(runs, texts)):
+            if self.direct and t.isalpha() and (t.isascii() or (t.lower() == t and unicodedata.is_normalized("NFC", t))):
+                word = raw.decode("latin-1").translate(_BYTE_ALPHABET)
+                ids = array("I", [x.id for x in tokenize(word)])
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                out[i] = ids.tobytes()
+            else:
+                rest.append(i)
+        for i, ids in zip(rest, self._encode_any([texts[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    def _encode_any(self, texts: list[str]) -> list[bytes]:
         if self.mark is None:
             return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         out: list[bytes] = []
@@ -127,6 +151,10 @@ def encoder(path: str) -> RunEncoder:
     return _ENCODERS[path]
 
 
+#: The public byte alphabet: printable bytes stand for themselves, the others, in order, for characters from 256 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_ALPHABET = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
