@@ -5,7 +5,8 @@ mix takes its first `target` words. The taken part is cut into blocks of BLOCK w
 A binary tree over the output shards splits the vector of quotas: at each node the left child's share of its blocks is
 a draw from the multivariate hypergeometric law, so every leaf has exact counts that sum to the quotas and
 each shard gets the global mix up to sampling noise. Shard m then owns the next count[m] blocks of each permuted
-stream - disjoint by construction - and orders its own blocks by a hash: a local shuffle.
+stream - disjoint by construction - and orders its own blocks by a hash: a local shuffle. What is taken of a document
+is the sum of the word ranges that the shards so draw, in the registered query and the pipeline, too.
 
 Defined cases: a null text or one without words has size 0 and is taken 0 times; a null source is a source of its
 own, last in order; repeated rows count each; an empty table gives no rows; other columns are not read.
@@ -14,8 +15,9 @@ own, last in order; repeated rows count each; an empty table gives no rows; othe
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tesserae.llm.common import GAP, Scratch, Shield, n_words, running_total, unit_hash
@@ -23,6 +25,8 @@ from tesserae.llm.common import GAP, Scratch, Shield, n_words, running_total, un
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
 BLOCK = 256
+SHARDS = 8
+TREE_SEED = 7
 SEED = "mix-1"
 
 
@@ -84,17 +88,31 @@ def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -
     return int(min(high, max(low, round(rng.normal(mean, spread)))))
 
 
-def streams(docs: DataFrame, keep: list[str] | None = None, **options) -> DataFrame:
-    """Each document with size, its source's size and target, and its place in the source's permuted stream of words.
+def block_owners(targets: DataFrame, shards: int, seed: int, block: int) -> DataFrame:
+    """targets (source, source_size, target) with _ends: the block before which each shard's own blocks of the source end.
+
+    Only quotas - a number a source - come to the driver, and only counts a shard and source go back.
+    """
+    quota = F.ceil(F.round("target").cast("long") / F.lit(block)).cast("long")
+    rows = targets.withColumn("quota", quota).orderBy(F.col("source").isNull(), "source").collect()
+    ends = np.cumsum(split_quotas(np.array([r["quota"] for r in rows], dtype=np.int64), shards, seed), axis=0)
+    owned = [(r["source"], r["source_size"], r["target"], ends[:, i].tolist()) for i, r in enumerate(rows)]
+    schema = T.StructType([*targets.schema.fields, T.StructField("_ends", T.ArrayType(T.LongType()))])
+    return F.broadcast(targets.sparkSession.createDataFrame(owned, schema))
+
+
+def streams(docs: DataFrame, keep: list[str] | None = None, shards: int = SHARDS, seed: int = TREE_SEED, block: int = BLOCK, **options) -> DataFrame:
+    """Each document with size, its source's size, target and _ends, and its place in the source's permuted stream of words.
 
     Sizes are counted once, into a table in the shared folder; columns to keep come from docs by a join.
     """
+    scratch = Scratch(docs.sparkSession, "mixing")
     sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *(keep or []))
-    words = sized if keep else Scratch(docs.sparkSession, "mixing").save(sized, "sizes")
+    words = sized if keep else scratch.save(sized, "sizes")
     words = words.withColumn("_rank", unit_hash(F.col("doc_id"), seed=SEED))
     targets = source_targets(words.groupBy("source").agg(F.sum("size").alias("source_size")), **options)
-    targets = targets.withColumn("target", F.round("target", 6))
-    return running_total(words, ["source"], "_rank", ["doc_id", "size"], "size", "start", targets)
+    targets = scratch.save(targets.withColumn("target", F.round("target", 6)), "targets")
+    return running_total(words, ["source"], "_rank", ["doc_id", "size"], "size", "start", block_owners(targets, shards, seed, block))
 
 
 def taken_of(limit: int = LIMIT):
@@ -106,18 +124,46 @@ def taken_of(limit: int = LIMIT):
     return whole, (whole * F.col("size") + part).cast("long"), part.cast("long")
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken."""
-    _, taken, _ = taken_of()
-    return streams(docs).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+def drawn_ranges(turn: Column, most: Column, block: int) -> Column:
+    """The word ranges (shard, block, first_word, n_words) that shards draw of the document's first `most` words in a pass.
+
+    A block that no shard owns gives no range.
+    """
+    at = turn * F.col("source_size") + F.col("start")
+
+    def piece(b: Column) -> Column:
+        begin, end = F.greatest(at, b * block), F.least(at + most, (b + 1) * block)
+        shard = F.size(F.filter("_ends", lambda e: e <= b))
+        return F.struct(shard.alias("shard"), b.alias("block"), (begin - at).alias("first_word"), (end - begin).alias("n_words"))
+
+    blocks = F.sequence(F.floor(at / F.lit(block)).cast("long"), F.floor((at + most - 1) / F.lit(block)).cast("long"))
+    own = F.filter(F.transform(blocks, piece), lambda r: r["shard"] < F.size("_ends"))
+    return F.when(most > 0, own).otherwise(F.filter(F.transform(F.array(F.lit(0).cast("long")), piece), lambda r: F.lit(False)))
 
 
-def mixed_segments(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """A row for each pass of the stream over a document, with the words [0, n_taken) that it takes."""
+def words_in(ranges: Column) -> Column:
+    return F.aggregate(ranges, F.lit(0).cast("long"), lambda n, r: n + r["n_words"])
+
+
+def drawn_passes(block: int) -> Column:
+    """For each pass of the stream over the document: pass, ranges."""
     whole, _, part = taken_of()
-    rows = streams(docs, keep).withColumn("_whole", whole).withColumn("_part", part)
-    passes = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_whole")), lambda e: F.struct(e.alias("pass"), F.when(e < F.col("_whole"), F.col("size")).otherwise(F.col("_part")).alias("n_taken")))
-    return rows.withColumn("_p", F.explode(passes)).select("*", "_p.pass", "_p.n_taken").where("n_taken > 0").drop("_p", "_whole", "_part", "_rank")
+    most = lambda e: F.when(e < whole, F.col("size")).otherwise(part)
+    return F.transform(F.sequence(F.lit(0).cast("long"), whole), lambda e: F.struct(e.alias("pass"), drawn_ranges(e, most(e), block).alias("ranges")))
+
+
+def mix_documents(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
+    """doc_id, size, source_size, target, taken: the words in the ranges that the shards draw."""
+    rows = streams(docs, block=block, **options).withColumn("_passes", drawn_passes(block))
+    taken = F.aggregate("_passes", F.lit(0).cast("long"), lambda n, p: n + words_in(p["ranges"]))
+    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+def mixed_segments(docs: DataFrame, keep: list[str] | None = None, block: int = BLOCK, **options) -> DataFrame:
+    """A row for each pass of the stream over a document, with the ranges that the shards draw of it and their words, n_taken."""
+    rows = streams(docs, keep, block=block, **options).withColumn("_p", F.explode(drawn_passes(block)))
+    rows = rows.select("*", "_p.pass", F.col("_p.ranges").alias("ranges"), words_in(F.col("_p.ranges")).alias("n_taken"))
+    return rows.where("n_taken > 0").drop("_p", "_ends", "_rank")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -135,24 +181,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     return shield.back(rows)
 
 
-def mix_to_shards(spark: SparkSession, docs: DataFrame, shards: int = 8, seed: int = 7, block: int = BLOCK) -> DataFrame:
-    """The mix as word ranges: shard, place (in the shard's own shuffle), doc_id, source, first_word, n_words.
-
-    Only quotas - a number a source - come to the driver, and only counts a shard and source go back.
-    """
-    segments = mixed_segments(docs)
-    quota = F.ceil(F.round("target").cast("long") / F.lit(block)).cast("long")
-    sources = segments.groupBy("source").agg(F.max(quota).alias("quota")).orderBy(F.col("source").isNull(), "source").collect()
-    counts = split_quotas(np.array([r["quota"] for r in sources], dtype=np.int64), shards, seed)
-    ends = np.cumsum(counts, axis=0)
-    owned = [(r["source"], m, int(ends[m, i] - counts[m, i]), int(ends[m, i])) for i, r in enumerate(sources) for m in range(shards) if counts[m, i]]
-    owners = spark.createDataFrame(owned, "_source string, shard int, _lo long, _hi long")
-    at = F.col("pass") * F.col("source_size") + F.col("start")
-    first, last = F.floor(at / block).cast("long"), F.floor((at + F.col("n_taken") - 1) / block).cast("long")
-    blocks = segments.withColumn("_at", at).withColumn("block", F.explode(F.sequence(first, last)))
-    begin = F.greatest(F.col("_at"), F.col("block") * block)
-    end = F.least(F.col("_at") + F.col("n_taken"), (F.col("block") + 1) * block)
-    blocks = blocks.withColumn("first_word", begin - F.col("_at")).withColumn("n_words", end - begin)
-    found = blocks.join(owners, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") >= F.col("_lo")) & (F.col("block") < F.col("_hi")))
-    place = unit_hash(F.col("source"), F.col("block"), F.lit(seed), seed="place")
-    return found.select("shard", place.alias("place"), "doc_id", "source", "pass", "block", "first_word", "n_words")
+def mix_to_shards(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, seed: int = TREE_SEED, block: int = BLOCK) -> DataFrame:
+    """The mix as word ranges: shard, place (in the shard's own shuffle), doc_id, source, first_word, n_words."""
+    found = mixed_segments(docs, block=block, shards=shards, seed=seed).withColumn("_r", F.explode("ranges"))
+    place = unit_hash(F.col("source"), F.col("_r.block"), F.lit(seed), seed="place")
+    return found.select("_r.shard", place.alias("place"), "doc_id", "source", "pass", "_r.block", "_r.first_word", "_r.n_words")

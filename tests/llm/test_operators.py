@@ -310,6 +310,26 @@ def test_splitting_tree_is_exact_and_shards_are_disjoint(spark, docs):
     assert all(len(o) == 1 for o in owners.values())
 
 
+def test_taken_is_what_the_shards_draw(spark, docs, monkeypatch):
+    whole = {}
+    for r in mixing.mix_to_shards(spark, docs).collect():
+        whole[r["doc_id"]] = whole.get(r["doc_id"], 0) + r["n_words"]
+    taken = {}
+    for r in mixing.mix_documents(docs).collect():
+        taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["taken"]
+    assert {d: n for d, n in taken.items() if n} == whole
+    rows = mixing.streams(docs)
+    exact = rows.select("doc_id", "size", "source_size", "target", mixing.taken_of()[1].alias("taken")).collect()
+    assert sorted(map(tuple, exact), key=str) == sorted(map(tuple, mixing.mix_documents(docs).collect()), key=str)
+    # quotas that the tree does not hand to a shard are not taken
+    tree = mixing.split_quotas
+    monkeypatch.setattr(mixing, "split_quotas", lambda *args: tree(*args) // 2)
+    fewer = sum(r["taken"] for r in mixing.mix_documents(docs).collect())
+    assert fewer == sum(r["n_words"] for r in mixing.mix_to_shards(spark, docs).collect()) < sum(taken.values())
+    kept = sum(len(words(r["text"])) for r in mixing.mixed_documents(docs).collect())
+    assert kept == fewer
+
+
 # 9
 
 
