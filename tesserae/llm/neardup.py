@@ -6,7 +6,8 @@
    whole sets, but for less than one link in 10**10 beyond). So, with values ordered from rare to frequent, it suffices
    to index each node's first (size - least_shared + 1): the prefix. Passages that many documents share are frequent and fall out.
 3. In each inverted list the node with the most shared values is the centre; the others are paired with it (a star, never
-   all pairs). Estimates of the union's sketch filter; full sets, made again from the texts, verify.
+   all pairs). Estimates of the union's sketch filter (two sets that sketches hold whole are compared exactly);
+   full sets, made again from the texts, verify.
 4. Verified links give components; lists whose nodes lie in one component are done. Nodes of the others (a small rest) are
    compared by full sets: prefixes that are exact for each class of sizes give the pairs of different components that may
    still be similar, and these are verified like the rest. So no link that joins components is lost.
@@ -211,7 +212,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: Fraction = Fract
         near = pairs.distinct().join(left, "a").join(right, "b")
         both = shared_in_union(F.col("sa"), F.col("sb"), retained)
         union = F.size(F.array_union("sa", "sb"))
-        sound = F.when((F.col("na") <= retained) & (F.col("nb") <= retained), both * den >= F.least(union, F.lit(retained)) * num - den).otherwise(both >= shared)
+        # sketches of two small sets are the sets: their similarity is exact
+        small = (F.col("na") <= retained) & (F.col("nb") <= retained)
+        sound = F.when(small, F.size(F.array_intersect("sa", "sb")) * den >= union * num).otherwise(both >= shared)
         hopeful = scratch.save(near.where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).where(sound).select("a", "b"), f"{tag}-pairs")
         texts = texts_of(hopeful.select(F.col("a").alias("node")).union(hopeful.select("b")).distinct())
         a, b = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))

@@ -124,6 +124,16 @@ def test_near_duplicates_without_a_centre(spark):
     assert sorted((g["doc_id"], g["n_shingles"], g["component_id"]) for g in got) == sorted(brute_components(rows, 3, 85, 100))
 
 
+def test_small_sets_at_the_threshold_are_linked(spark):
+    """63 five-word shingles each, 56 of them shared: a similarity of exactly 0.8."""
+    rows = []
+    for k in range(40):
+        text = [f"w{k}x{i}" for i in range(67)]
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text[:60] + [f"v{k}x{i}" for i in range(7)]))]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=5, threshold=Fraction(8, 10)).collect()
+    assert all(g["n_shingles"] == 63 and g["component_id"] == g["doc_id"] // 2 * 2 for g in got) and len(got) == 80
+
+
 def test_near_duplicates_of_nothing(empty):
     assert neardup.near_duplicates(empty).count() == 0
 
