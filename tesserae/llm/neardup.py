@@ -16,8 +16,8 @@ Nothing of a size that grows with the corpus comes to the driver. Hot values, ce
 or meet in joins that adaptive execution splits.
 
 Defined cases: texts that are null or have no word have an empty set, are linked with nothing and are kept; fewer words than a
-shingle make one shingle; repeated rows are exact copies; a null doc_id counts as larger than any other; an empty table gives no
-rows; very long texts are hashed block by block; other columns are not read.
+shingle make one shingle; repeated rows are exact copies; a null doc_id counts as larger than any other; rows under one doc_id
+are told apart by their texts; an empty table gives no rows; very long texts are hashed block by block; other columns are not read.
 """
 
 from __future__ import annotations
@@ -52,23 +52,28 @@ def least_shared(threshold: Fraction, retained: int) -> int:
     return retained
 
 
-SKETCHES = "doc_id long, n_shingles long, node long, proof long, sketch array<long>"
+SKETCHES = "doc_id long, text_key long, n_shingles long, node long, proof long, sketch array<long>"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with text_key, a hash of the text: with doc_id (as long) it names a row, and rows that share both are equal in text."""
+    return docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text_key": F.xxhash64(F.coalesce("text", F.lit("")))})
 
 
 def sketches(docs: DataFrame, words: int, retained: int = RETAINED) -> DataFrame:
-    """doc_id, n_shingles, node and proof (fingerprints of the set; null if empty), sketch (ascending)."""
+    """doc_id, text_key, n_shingles, node and proof (fingerprints of the set; null if empty), sketch (ascending)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
         for batch in batches:
-            texts = [t.encode() for t in batch.column(1).to_pylist()]
+            texts = [t.encode() for t in batch.column(2).to_pylist()]
             for lo, hi in slices(texts):
                 sets = shingle_sets(texts[lo:hi], words)
                 prints = [set_prints(s) if len(s) else (None, None) for s in sets]
-                columns = (batch.column(0)[lo:hi], [len(s) for s in sets], [p[0] for p in prints], [p[1] for p in prints], [s[:retained] for s in sets])
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_shingles", "node", "proof", "sketch"])
+                columns = (batch.column(0)[lo:hi], batch.column(1)[lo:hi], [len(s) for s in sets], [p[0] for p in prints], [p[1] for p in prints], [s[:retained] for s in sets])
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "text_key", "n_shingles", "node", "proof", "sketch"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = keyed(docs.select("doc_id", "text")).select("doc_id", "text_key", F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(run, SKETCHES)
 
 
@@ -179,15 +184,21 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     return scratch.save(found, f"{tag}-components")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(8, 10), retained: int = RETAINED) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept."""
+def same_row(a: DataFrame, b: DataFrame) -> Column:
+    return a["doc_id"].eqNullSafe(b["rep"]) & (a["text_key"] == b["rep_key"])
+
+
+def linked(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(8, 10), retained: int = RETAINED) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id (smallest doc_id reachable by links), kept."""
     scratch = Scratch(docs.sparkSession, "neardup")
     t, shared = float(threshold), least_shared(threshold, retained)
     all_docs = scratch.save(sketches(docs, words, retained), "sketches")
-    groups = all_docs.where("node is not null").groupBy("node", "proof").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
-    nodes = scratch.save(groups.groupBy("node").agg(F.min("rep").alias("rep"), F.max("n").alias("n")), "nodes")
-    own = all_docs.where("node is not null").select("node", F.col("doc_id").alias("rep"), "sketch")
-    held = scratch.save(nodes.join(own, ["node", "rep"]).dropDuplicates(["node"]).select("node", "n", "sketch"), "held")
+    nodes = all_docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    own = all_docs.where("node is not null").select(F.col("node").alias("_node"), "doc_id", "text_key", "n_shingles", "sketch")
+    own = own.join(nodes, (F.col("_node") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    held = scratch.save(own.groupBy("node").agg(F.first("rep").alias("rep"), F.min("text_key").alias("rep_key"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "held")
+    ids = scratch.save(all_docs.drop("sketch", "proof"), "ids")
+    scratch.drop("sketches")  # the largest table; held has each set's sketch
 
     # values that two nodes hold; a node's other values are its rarest and need no list
     entries = held.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
@@ -202,8 +213,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: Fraction = Fract
 
     def texts_of(some: DataFrame) -> DataFrame:
         """node, text of its document with the smallest id."""
-        reps = some.join(nodes, "node").select("node", F.col("rep").alias("doc_id"))
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(reps, "doc_id").dropDuplicates(["node"]).select("node", "text")
+        reps, rows = some.join(held, "node").select("node", "rep", "rep_key"), keyed(docs.select("doc_id", "text"))
+        return rows.join(reps, same_row(rows, reps)).dropDuplicates(["node"]).select("node", "text")
 
     def confirm(pairs: DataFrame, tag: str) -> DataFrame:
         """Links among candidate pairs (a, b): sizes, then the estimate, then full sets."""
@@ -224,6 +235,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: Fraction = Fract
     start = lists.select("value", "node", "common")
     many = start.groupBy("value").agg(F.count("*").alias("_n")).where("_n > 1").select("value")
     open_lists = scratch.save(start.join(many, "value", "left_semi"), "open")
+    scratch.drop("lists")
     found = None
     if not open_lists.isEmpty():
         centre = open_lists.groupBy("value").agg(F.max(F.struct("common", "node")).alias("c")).select("value", F.col("c.node").alias("b"))
@@ -237,20 +249,33 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: Fraction = Fract
         if not rest.isEmpty():
             pairs = scratch.save(exact_candidates(full_sets(texts_of(rest), words), rest, threshold), "rest-candidates")
             found = components(links.unionByName(confirm(pairs, "rest")), scratch, "rest")
+    least = F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), F.col("rep_key").alias("key")))
+    of = held.select("node", "rep", "rep_key")
     if found is None:
-        of = nodes.select("node", "rep", F.col("node").alias("component"))
+        named = of.select("node", F.col("rep").alias("component_id"), F.col("rep_key").alias("component_key"))
     else:
-        of = nodes.join(found, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
-    least = of.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = scratch.save(of.join(least, "component").select("node", "component_id"), "named")
-    out = all_docs.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    own_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own_id.alias("component_id"), F.col("doc_id").eqNullSafe(own_id).alias("kept"))
+        of = of.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        first = of.groupBy("component").agg(least.alias("_first")).select("component", F.col("_first.id").alias("component_id"), F.col("_first.key").alias("component_key"))
+        named = scratch.save(of.join(first, "component").select("node", "component_id", "component_key"), "named")
+    out = ids.join(named, "node", "left")
+    alone = F.col("node").isNull()
+    own_id = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
+    kept = alone | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("component_key")))
+    return out.select("doc_id", "text_key", "n_shingles", own_id.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(8, 10), retained: int = RETAINED) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept."""
+    return linked(docs, words, threshold, retained).drop("text_key")
 
 
 def representatives(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id, with its own columns."""
+    """One document of each group of near-duplicates, the one with the smallest doc_id, with its own columns.
+
+    Rows are told apart by doc_id and text, so that documents without an id or with another's are only dropped for their texts.
+    """
     shield = Shield(docs, ["doc_id", "text"])
-    kept = near_duplicates(shield.df, **options).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    own = shield.df.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return shield.back(own.dropDuplicates(["doc_id"]))
+    kept = linked(shield.df, **options).where("kept").select(F.col("doc_id").alias("rep"), F.col("text_key").alias("rep_key")).distinct()
+    rows = shield.df.withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.xxhash64(F.coalesce("text", F.lit(""))), "_none": F.col("text").isNull()})
+    own = rows.join(kept, F.col("_id").eqNullSafe(F.col("rep")) & (F.col("_key") == F.col("rep_key")), "left_semi")
+    return shield.back(own.dropDuplicates(["_id", "_key", "_none"]))

@@ -134,6 +134,23 @@ def test_small_sets_at_the_threshold_are_linked(spark):
     assert all(g["n_shingles"] == 63 and g["component_id"] == g["doc_id"] // 2 * 2 for g in got) and len(got) == 80
 
 
+def test_rows_without_an_id_of_their_own_stay_by_their_texts(spark):
+    r = random.Random(5)
+    text = lambda k: [f"t{k}x{i}" for i in range(80)]
+    near = lambda k: " ".join(text(k)[:-1] + ["other"])
+    rows = [(None, " ".join(text(k))) for k in range(6)] + [(7, " ".join(text(k))) for k in range(6, 9)]
+    rows += [(None, near(0)), (None, near(6)), (9, near(1)), (7, near(8)), (None, " ".join(text(2))), (None, None), (7, "")]
+    r.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [(d, t) for d, t in map(tuple, neardup.representatives(frame).collect()) if t]
+    group = lambda t: t.split("x")[0]
+    assert sorted(group(t) for _, t in left) == [f"t{k}" for k in range(9)]  # one of each, none else
+    assert (9, near(1)) in left and (7, " ".join(text(6))) in left
+    flags = neardup.near_duplicates(frame).collect()
+    assert len(flags) == len(rows) and sum(g["kept"] for g in flags if g["n_shingles"]) == len(left) + 1  # the equal rows are both flagged
+    assert neardup.representatives(frame).where("text is null or text = ''").count() == 2
+
+
 def test_near_duplicates_of_nothing(empty):
     assert neardup.near_duplicates(empty).count() == 0
 
