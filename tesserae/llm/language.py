@@ -6,7 +6,8 @@ interpolated trigram log-probability, relative to the best language and floored
 word's script gets the floor. A switch between languages costs SWITCH. The texts of a batch are decoded together, word by word
 of all that are still open, so work is in proportion to words.
 
-The model keeps the MAX_GRAMS most frequent grams of a language and MAX_LANGUAGES languages: its size is bounded.
+Every gram of every language counts. A model of up to CELLS numbers (grams times languages) is sent to the workers; beyond, the
+counts stay a table, and each group of texts gets those of its own grams by a join: the same scores.
 
 Defined cases: a null or empty text or one without letters is `und` with score 0 and no spans, as is any text where nothing
 was learned; equal texts get equal results; ties go to the language first in order; rows without language are not learned
@@ -18,18 +19,20 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
-from tesserae.llm.common import Shield
+from tesserae.llm.common import Scratch, Shield
 
 SWITCH, CLIP = 12.0, -8.0
-MAX_GRAMS, MAX_LANGUAGES = 200_000, 256
+#: Numbers (grams times languages) up to which the model is sent whole.
+CELLS = 4_000_000
 #: A language writes a script that has this share of its words.
 SCRIPT_SHARE = 0.02
 #: Words whose scores a worker keeps, and texts that are decoded together.
@@ -87,6 +90,38 @@ def count_grams(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+class Shared(NamedTuple):
+    """What every group's model needs, a few numbers a language."""
+
+    langs: list[str]
+    scripts: list[tuple[str, str, int]]
+    every: list[int]
+    letters: int
+
+
+def gram_stats(counts: DataFrame) -> DataFrame:
+    """kind, gram, lang, n: counts of 1- to 3-grams (kinds 0 to 2), and of what 1- and 2-grams go before (3 and 4)."""
+    tri, found = counts.where(~F.col("gram").startswith("\f")), None
+    for k in range(3):
+        of = tri.where(F.length("gram") > k).select("lang", F.expr(f"right(gram, {k + 1})").alias("gram"), "n")
+        for kind, key in [(k, F.col("gram"))] + ([(k + 2, F.expr(f"left(gram, {k})"))] if k else []):
+            one = of.select(F.lit(kind).alias("kind"), key.alias("gram"), "lang", "n")
+            found = one if found is None else found.unionByName(one)
+    return found.groupBy("kind", "gram", "lang").agg(F.sum("n").alias("n"))
+
+
+class Joined:
+    """Counts too many to send: a table of gram_stats, and what all models share."""
+
+    def __init__(self, counts: DataFrame, scratch: Scratch):
+        self.stats = scratch.save(gram_stats(counts), "stats")
+        letters = self.stats.where("kind = 0")
+        every = {r["lang"]: r["n"] for r in letters.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+        scripts = sorted(tuple(r) for r in counts.where(F.col("gram").startswith("\f")).select("lang", "gram", "n").collect())
+        langs = sorted(every)
+        self.shared = Shared(langs, scripts, [every[x] for x in langs], letters.select("gram").distinct().count())
+
+
 class Model:
     """Scores of words under each learned language."""
 
@@ -106,17 +141,33 @@ class Model:
                 key = gram[-1 - k :] if k < len(gram) else gram
                 if k < len(gram):
                     tables[k][key] = tables[k].get(key, 0) + n
-        every = sum(tables[0].values(), np.zeros(size))
+        heads: list[dict[str, np.ndarray]] = [{}, {}, {}]
+        for k in (1, 2):
+            for gram, n in tables[k].items():
+                heads[k][gram[:-1]] = heads[k].get(gram[:-1], 0) + n
+        self._fit(tables, heads, sum(tables[0].values(), np.zeros(size)), len(tables[0]))
+
+    @classmethod
+    def of(cls, shared: Shared, stats: Iterator[tuple[int, str, str, int]]) -> Model:
+        """The model for texts whose grams' own rows (kind, gram, lang, n) of gram_stats are given."""
+        model = cls(shared.scripts)
+        model.langs, size = shared.langs, len(shared.langs)
+        at = {lang: i for i, lang in enumerate(shared.langs)}
+        found: list[dict[str, np.ndarray]] = [{} for _ in range(5)]
+        for kind, gram, lang, n in stats:
+            found[kind].setdefault(gram, np.zeros(size))[at[lang]] += n
+        model._fit(found[:3], [{}, *found[3:]], np.array(shared.every, dtype=np.float64), shared.letters)
+        return model
+
+    def _fit(self, tables: list[dict[str, np.ndarray]], heads: list[dict[str, np.ndarray]], every: np.ndarray, letters: int) -> None:
+        size = len(self.langs)
         self.rows: dict[str, int] = {}
         logs, probs = [], {}
-        lower = {c: (n + 0.5) / (every + 0.5 * (len(tables[0]) + 1)) for c, n in tables[0].items()}
+        lower = {c: (n + 0.5) / (every + 0.5 * (letters + 1)) for c, n in tables[0].items()}
         probs.update(lower)
         for k, strength in ((1, 20.0), (2, 10.0)):
-            heads: dict[str, np.ndarray] = {}
             for gram, n in tables[k].items():
-                heads[gram[:-1]] = heads.get(gram[:-1], 0) + n
-            for gram, n in tables[k].items():
-                probs[gram] = (n + strength * probs[gram[1:]]) / (heads[gram[:-1]] + strength)
+                probs[gram] = (n + strength * probs[gram[1:]]) / (heads[k][gram[:-1]] + strength)
         for gram, p in probs.items():
             self.rows[gram] = len(logs)
             logs.append(np.log(p))
@@ -184,7 +235,7 @@ class Model:
                 bests.append(best)
             else:
                 state[:n] = score
-        flat = np.zeros(len(ids), dtype=np.int16)
+        flat = np.zeros(len(ids), dtype=np.int32)
         now = state.argmax(axis=1)
         for t in range(steps - 1, -1, -1):
             n = active[t]
@@ -192,38 +243,30 @@ class Model:
             if t:
                 stay = stays[t - 1][np.arange(n), now[:n]]
                 now[:n] = np.where(stay, now[:n], bests[t - 1])
-        out: list[np.ndarray] = [np.zeros(0, dtype=np.int16)] * len(docs)
+        out: list[np.ndarray] = [np.zeros(0, dtype=np.int32)] * len(docs)
         for k, i in enumerate(order):
             out[i] = flat[begins[k] : begins[k] + lengths[k]]
         return out
 
 
-def learn(labelled: DataFrame) -> list[tuple[str, str, int]]:
-    """The bounded counts of a Model from rows (text, lang)."""
-    counts = count_grams(labelled.where("text is not null and lang is not null"))
-    largest = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    # a language's grams are few beside its rows: partial sums have come before
-    kept = counts.withColumn("_r", F.row_number().over(largest)).where(F.col("_r") <= MAX_GRAMS)
-    rows = [(r["lang"], r["gram"], r["n"]) for r in kept.select("lang", "gram", "n").collect()]
-    size = Counter()
-    for lang, gram, n in rows:
-        size[lang] += n
-    chosen = {lang for lang, _ in sorted(size.items(), key=lambda x: (-x[1], x[0]))[:MAX_LANGUAGES]}
-    return sorted(r for r in rows if r[0] in chosen)
-
+def learn(labelled: DataFrame) -> list[tuple[str, str, int]] | Joined:
+    """The counts of a Model from rows (text, lang): all of them, or a table where they are too many to send."""
+    scratch = Scratch(labelled.sparkSession, "language")
+    counts = scratch.save(count_grams(labelled.where("text is not null and lang is not null")), "counts")
+    size = counts.agg(F.countDistinct("gram").alias("grams"), F.countDistinct("lang").alias("langs")).first()
+    if size["grams"] * size["langs"] > CELLS:
+        return Joined(counts, scratch)
+    return sorted((r["lang"], r["gram"], r["n"]) for r in counts.select("lang", "gram", "n").collect())
 
-_MODELS: dict[int, Model] = {}
 
-
-def label_spans(docs: DataFrame, counts: list[tuple[str, str, int]], spans: bool = True) -> DataFrame:
+def label_spans(docs: DataFrame, counts: list[tuple[str, str, int]] | Joined, spans: bool = True) -> DataFrame:
     """docs with _lang, _share (of its letters) and, if asked, _spans (lang, first_word, n_words)."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     schema += ", _lang string, _share double" + (", _spans array<struct<lang:string,first_word:long,n_words:long>>" if spans else "")
-    place, shared = docs.columns.index("text"), docs.sparkSession.sparkContext.broadcast(counts)
+    place = docs.columns.index("text")
     kinds = [pa.string(), pa.float64(), pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())]))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(shared.value)
+    def labelled(model: Model, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, TOGETHER):
                 batch = whole.slice(lo, TOGETHER)
@@ -247,7 +290,43 @@ def label_spans(docs: DataFrame, counts: list[tuple[str, str, int]], spans: bool
                 n = 3 if spans else 2
                 yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, t) for c, t in zip(out[:n], kinds)]], names=[*batch.schema.names, *["_lang", "_share", "_spans"][:n]])
 
-    return docs.mapInArrow(run, schema)
+    if isinstance(counts, Joined):
+        return _by_groups(docs, counts, labelled, schema)
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    return docs.mapInArrow(lambda batches: labelled(Model(shared.value), batches), schema)
+
+
+def _by_groups(docs: DataFrame, counts: Joined, labelled, schema: str) -> DataFrame:
+    """Texts in groups of about TOGETHER, each labelled with the counts of its own grams, which a join finds."""
+    groups, shared = -(-docs.count() // TOGETHER) or 1, counts.shared
+    keys = [f.name for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    dealt = docs.withColumn("_group", F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(groups)))
+    n = len(docs.columns)
+
+    def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own: dict[int, set[str]] = {}
+            for group, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own.setdefault(group, set()).update(words_of(text or ""))
+            for group, words in own.items():
+                asked = set()
+                for g in {g for w in words for g in _grams(w)}:
+                    for k in range(len(g)):
+                        key = g[-1 - k :]
+                        asked.add((k, key))
+                        if k:
+                            asked.add((k + 2, key[:-1]))
+                if asked:
+                    kinds, grams = zip(*asked)
+                    yield pa.RecordBatch.from_arrays([pa.array([group] * len(kinds), pa.int64()), pa.array(kinds, pa.int32()), pa.array(grams)], names=["_group", "kind", "gram"])
+
+    def both(left: pa.Table, right: pa.Table) -> pa.Table:
+        model = Model.of(shared, zip(*[right.column(c).to_pylist() for c in ("kind", "gram", "lang", "n")]))
+        return pa.Table.from_batches(labelled(model, left.select(range(n)).to_batches()))
+
+    asked = dealt.select("_group", "text").mapInArrow(needs, "_group long, kind int, gram string").distinct()
+    rows = asked.join(counts.stats, ["kind", "gram"]).select("_group", "kind", "gram", "lang", "n")
+    return dealt.groupBy("_group").cogroup(rows.groupBy("_group")).applyInArrow(both, schema)
 
 
 def held_out(doc_id):

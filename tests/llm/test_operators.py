@@ -175,6 +175,27 @@ def test_language_edges_and_spans(docs, spark, empty):
     assert [s["lang"] for s in spans] == ["en", "de", "ru"] and [s["first_word"] for s in spans] == [0, 27, 54]
 
 
+def test_every_language_counts_and_both_ways_agree(spark, docs, monkeypatch):
+    r = random.Random(3)
+    rows = []
+    for k in range(270):
+        own = "".join(chr(0x4E00 + 40 * k + i) for i in range(40))
+        rows += [(4 * k + i, " ".join("".join(r.choices(own, k=4)) for _ in range(12)), f"l{k:03}") for i in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).cache()
+    lang = {d: x for d, _, x in rows}
+    sent = {g["doc_id"]: tuple(g) for g in language.predict(frame).collect()}
+    trained = {lang[d] for d, g in sent.items() if not g[1]}
+    assert len(trained) > 256 and all(sent[d][2] == x for d, x in lang.items() if x in trained)
+    both = [(frame, sent)] + [(docs, None)]
+    for table, whole in both:
+        whole = sorted(map(tuple, language.predict(table).collect()), key=str) if whole is None else sorted(whole.values(), key=str)
+        with monkeypatch.context() as m:
+            m.setattr(language, "CELLS", 0)
+            m.setattr(language, "TOGETHER", 100)
+            assert isinstance(language.learn(table.select("text", "lang")), language.Joined)
+            assert sorted(map(tuple, language.predict(table).collect()), key=str) == whole
+
+
 # 4
 
 
