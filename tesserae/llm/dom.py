@@ -38,6 +38,7 @@ class Node:
     depth: int
     tokens: frozenset
     children: list = field(default_factory=list)
+    place: int = 0  # among the parent's children
     chars: int = 0
     words: int = 0
     punct: int = 0
@@ -70,6 +71,7 @@ def parse(source: str) -> Page:
             at = stack[-1]
             if nodes[at].tag in CONTAINERS:
                 nodes.append(Node("#text", at, nodes[at].depth + 1, _NO_TOKENS))
+                nodes[-1].place = len(nodes[at].children)
                 nodes[at].children.append(len(nodes) - 1)
                 at = len(nodes) - 1
             node = nodes[at]
@@ -155,6 +157,7 @@ def parse(source: str) -> Page:
             tokens = frozenset(t for _, v in _ATTR.findall(attrs) for t in _TOKEN.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower()))
         parent = stack[-1]
         nodes.append(Node(name, parent, nodes[parent].depth + 1, tokens))
+        nodes[-1].place = len(nodes[parent].children)
         nodes[parent].children.append(len(nodes) - 1)
         stack.append(len(nodes) - 1)
         opened[name] = opened.get(name, 0) + 1
@@ -229,7 +232,7 @@ def features(page: Page) -> np.ndarray:
         group = _GROUPS.get(x.tag, "box")
         row = [int(x.tag == k) for k in _KINDS] + kinds + [int(group == g) for g in _GROUP_NAMES] + mine + around + below[i][: len(hints)]
         kids = nodes[p].children if p >= 0 else [0]
-        place = kids.index(i) if len(kids) < 50 else int(len(kids) * (before[i] / whole))
+        place = x.place
         prev = kids[place - 1] if 0 < place < len(kids) else -1
         after = kids[place + 1] if place + 1 < len(kids) else -1
         row += [

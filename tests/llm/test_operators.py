@@ -62,6 +62,15 @@ def test_generated_pages_are_read_right():
     assert right >= 60
 
 
+def test_places_are_exact_among_many_siblings():
+    page = extraction.parse("<body><h1>" + "long " * 300 + "</h1><div>" + "".join(f"<p>{'word ' * (1 + 7 * k % 40)}</p>" for k in range(120)) + "</div></body>")
+    found = extraction.features(page)
+    for i, node in enumerate(page.nodes):
+        if node.parent >= 0:
+            assert found[i, -23] == page.nodes[node.parent].children.index(i)
+    assert max(len(node.children) for node in page.nodes) >= 120
+
+
 def test_pages_table_and_odd_pages(spark):
     trees = extraction.trained(400, 3)
     pages = common.table(spark, DATA, "pages")
