@@ -488,6 +488,13 @@ def test_every_constraint_holds(rule):
         assert own.sum() <= 1000 and len(own) <= 4 and (own.astype(float) ** 2).sum() <= 300_000
 
 
+def test_each_capacity_binds_alone():
+    lengths = np.full(64, 10)
+    count = lambda **given: len(np.unique(packing.best_fit(lengths, packing.Capacity(**given))[0]))
+    assert count() == 1  # as registered, the tokens alone limit
+    assert count(tokens=80) == 8 and count(documents=4) == 16 and count(attention=1000) == 7
+
+
 def test_encoder_equals_the_tokenizer_on_odd_texts():
     enc, r = packing.RunEncoder(word_tokenizer()), random.Random(1)
     texts = ["it's, don't we'll X's İstanbul ΣΑΣ. ﬁn é", "<|endoftext|> <|ENDOFTEXT|>", "", "日本語 ß ſ K", "x.,;y. a., b.\x1cc \x85 d"]
