@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,22 +36,61 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
+@contextlib.contextmanager
+def spent_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go as soon as the query that wrote them has ended: a table was written, and no later plan reads them."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive the loss of an executor."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.at = spark, f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        atexit.register(_drop_at_exit, self)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.at}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        with spent_shuffles(self.spark):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        """Deletes a table that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.at}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def _folder(self, name: str = ""):
+        """The Hadoop file system and path of a table, or of all."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.at}/{name}".rstrip("/"))
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def drop(self, name: str = "") -> None:
+        """Deletes a table that no later plan reads; without a name, all."""
+        store, path = self._folder(name)
+        store.delete(path, True)
+
+    def keep(self, *names: str) -> None:
+        """Deletes all tables but these, which the result reads; they go when the application ends."""
+        store, path = self._folder()
+        for own in store.listStatus(path):
+            if own.getPath().getName() not in names:
+                store.delete(own.getPath(), True)
+
+
+def _drop_at_exit(scratch: Scratch) -> None:
+    with contextlib.suppress(Exception):  # the application's own end may come first
+        scratch.drop()
+
+
+#: Rows of a few numbers each that are sent to every executor at most (some 50 bytes a row there); beyond, joins shuffle.
+BROADCAST = 400_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, sent to every executor if it is counted to be small; the same rows come of a join either way."""
+    return F.broadcast(df) if df.count() <= BROADCAST else df
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -31,13 +31,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import Scratch, Shield
+from tesserae.llm.common import Scratch, Shield, small
 from tesserae.llm.wordhash import set_prints, shingle_sets, slices
 
 #: Values that a sketch retains.
 RETAINED = 64
 #: Ratio of neighbouring classes of size.
 CLASS = 1.02
+#: Rounds of stars before sets of different components are compared pair by pair.
+STARS = 2
+#: Values by which two prefixes tell whether they have met before.
+HEAD = 64
 #: Probability with which a link may share fewer sketch values than least_shared says.
 MISS = 1e-10
 
@@ -120,33 +124,44 @@ def full_sets(texts: DataFrame, words: int) -> DataFrame:
     return rows.select("node", F.size("values").alias("n"), F.explode("values").alias("value"))
 
 
-def exact_candidates(shingles: DataFrame, labels: DataFrame, threshold: Fraction) -> DataFrame:
+def exact_candidates(shingles: DataFrame, labels: DataFrame, threshold: Fraction, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of nodes of different components that may be similar, by prefixes of full sets and classes of size.
 
     For sizes x >= y, similar sets share o = ceil(t / (1 + t) * (x + y)) shingles or more, so the first x - o + 1 and y - o + 1
     in the common order (rare first) meet. The smaller one is indexed under its class of size, for which x = y is the
-    worst case; the larger asks each class down to t * x, with a prefix for that class alone.
+    worst case; the larger asks each class down to t * x, with a prefix for that class alone. Of the values in which two
+    prefixes meet, the first gives the pair, as far as the HEAD first values of both tell; beyond, distinct() does.
     """
     num, den = threshold.numerator, threshold.denominator
     often = shingles.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     met = shingles.join(often, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("met"))
-    placed = met.select("node", "n", (F.col("n") - F.size("met")).alias("_alone"), F.posexplode("met").alias("_at", "m")).select("node", "n", F.col("m.value").alias("value"), (F.col("_alone") + F.col("_at") + 1).alias("rank"))
-    placed = placed.join(labels, "node")
+    met = scratch.save(met.join(labels, "node"), "met")
 
     def need(x: Column, y: Column) -> Column:
         return F.floor((num * (x + y) + num + den - 1) / F.lit(num + den))
 
     n, log = F.col("n"), math.log(CLASS)
     size_class = lambda size: F.floor(F.log(size) / F.lit(log) + 1e-9)
-    index = placed.where(F.col("rank") <= n - need(n, n) + 1).select("value", size_class(n).alias("_class"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
+    alone = n - F.size("met")
+
+    def prefixes(rows: DataFrame, upto: Column) -> DataFrame:
+        """A row for each value of rank 1 to upto, with the first values among them."""
+        rows = rows.withColumn("_met", F.slice("met", F.lit(1), F.greatest(F.least(upto - alone, F.size("met")), F.lit(0)).cast("int")))
+        rows = rows.withColumn("head", F.transform(F.slice("_met", 1, HEAD), lambda m: m["value"]))
+        rows = rows.select("node", "n", "component", "_class", "head", alone.alias("_alone"), F.posexplode("_met").alias("_at", "m"))
+        return rows.select("node", "n", "component", "_class", "head", F.col("m.value").alias("value"), (F.col("_alone") + F.col("_at") + 1).alias("rank"))
+
+    index = prefixes(met.withColumn("_class", size_class(n)), n - need(n, n) + 1)
+    index = index.select("value", "_class", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rank").alias("rb"), F.col("component").alias("cb"), F.col("head").alias("hb"))
     least = F.ceil(n * num / F.lit(den))
-    asked = placed.where(F.col("rank") <= n - need(n, least) + 1)
-    asked = asked.withColumn("_class", F.explode(F.sequence(size_class(least), size_class(n))))
-    smallest = F.greatest(least, F.floor(F.pow(F.lit(CLASS), F.col("_class")) - 1e-6))
-    asked = asked.where(F.col("rank") <= n - need(n, smallest) + 1).select("value", "_class", F.col("node").alias("a"), n.alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"))
+    asked = met.withColumn("_class", F.explode(F.sequence(size_class(least), size_class(n))))
+    asked = prefixes(asked, n - need(n, F.greatest(least, F.floor(F.pow(F.lit(CLASS), F.col("_class")) - 1e-6))) + 1)
+    asked = asked.select("value", "_class", F.col("node").alias("a"), F.col("n").alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"), F.col("head").alias("ha"))
     shared = need(F.col("na"), F.col("nb"))
     fits = (F.col("ca") != F.col("cb")) & (F.col("nb") * den >= F.col("na") * num) & ((F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a"))))
     fits = fits & (F.col("ra") <= F.col("na") - shared + 1) & (F.col("rb") <= F.col("nb") - shared + 1)
+    # both heads are in the common order, so the first value of their meet is the first in which the prefixes meet
+    fits = fits & (F.coalesce(F.get(F.array_intersect("ha", "hb"), F.lit(0)), F.col("value")) == F.col("value"))
     return asked.join(index, ["value", "_class"]).where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -188,79 +203,106 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["rep"]) & (a["text_key"] == b["rep_key"])
 
 
-def linked(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(8, 10), retained: int = RETAINED) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id (smallest doc_id reachable by links), kept."""
+def named_nodes(all_docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """held (a row for each distinct set: node, rep, rep_key, n, sketch) and ids (doc_id, text_key, n_shingles, node).
+
+    A set is known by both fingerprints and its size. Sets of one first fingerprint get names of their own, until none clash.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_key").alias("key")))
+    sets = all_docs.where("node is not null").groupBy("node", "proof", F.col("n_shingles").alias("n")).agg(first.alias("_r"), F.first("sketch").alias("sketch"))
+    held = scratch.save(sets.select("node", "proof", "n", F.col("_r.id").alias("rep"), F.col("_r.key").alias("rep_key"), "sketch"), "held")
+    ids = scratch.save(all_docs.drop("sketch"), "ids")
+    scratch.drop("sketches")  # the largest table; held has each set's sketch
+    turn = 0
+    while not (clashes := held.groupBy("node").agg(F.count("*").alias("_n")).where("_n > 1").select("node")).isEmpty():
+        clashes, turn = scratch.save(clashes.withColumn("_clash", F.lit(True)), f"clashes{turn}"), turn + 1
+        renamed = lambda rows, n: rows.join(clashes, "node", "left").withColumn("node", F.when(F.col("_clash"), F.xxhash64("node", "proof", n, F.lit(turn))).otherwise(F.col("node"))).drop("_clash")  # noqa: B023, E731
+        held, ids = scratch.save(renamed(held, "n"), f"held{turn}"), scratch.save(renamed(ids, "n_shingles"), f"ids{turn}")
+    return held.drop("proof"), ids.drop("proof")
+
+
+def linked(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(8, 10), retained: int = RETAINED, node_bits: int = 64) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id (smallest doc_id reachable by links), kept.
+
+    node_bits, of the first fingerprint of a set, is below 64 only in tests.
+    """
     scratch = Scratch(docs.sparkSession, "neardup")
     t, shared = float(threshold), least_shared(threshold, retained)
-    all_docs = scratch.save(sketches(docs, words, retained), "sketches")
-    nodes = all_docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
-    own = all_docs.where("node is not null").select(F.col("node").alias("_node"), "doc_id", "text_key", "n_shingles", "sketch")
-    own = own.join(nodes, (F.col("_node") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-    held = scratch.save(own.groupBy("node").agg(F.first("rep").alias("rep"), F.min("text_key").alias("rep_key"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "held")
-    ids = scratch.save(all_docs.drop("sketch", "proof"), "ids")
-    scratch.drop("sketches")  # the largest table; held has each set's sketch
+    sketched = sketches(docs, words, retained)
+    if node_bits < 64:
+        sketched = sketched.withColumn("node", F.when(F.col("node").isNotNull(), F.floor(F.col("node") / F.lit(2.0 ** (64 - node_bits)))))
+    held, ids = named_nodes(scratch.save(sketched, "sketches"), scratch)
 
     # values that two nodes hold; a node's other values are its rarest and need no list
     entries = held.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
-    often = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    often = scratch.save(entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "often")
     met = entries.join(often, "value").groupBy("node", "n", "size").agg(F.collect_list(F.struct("df", "value")).alias("met"))
     whole = F.floor(F.lit(retained + 1) * t)  # below, any partner's sketch is its whole set, too
     num, den = threshold.numerator, threshold.denominator
     must = F.when(F.col("n") < whole, F.floor((F.col("n") * num + den - 1) / den)).otherwise(F.lit(shared))
     prefix = (F.col("size") - must + 1 - (F.col("size") - F.size("met"))).cast("int")
     kept = F.when(prefix > 0, F.slice(F.array_sort("met"), F.lit(1), F.greatest(prefix, F.lit(1))))
-    lists = scratch.save(met.select("node", "n", F.size("met").alias("common"), F.explode(kept).alias("m")).select("node", "n", "common", F.col("m.value").alias("value")), "lists")
+    lists = scratch.save(met.select("node", F.size("met").alias("common"), F.explode(kept).alias("m")).select("node", "common", F.col("m.value").alias("value")), "lists")
+    scratch.drop("often")
+    many = lists.groupBy("value").agg(F.count("*").alias("_n")).where("_n > 1").select("value")
+    open_lists = scratch.save(lists.join(many, "value", "left_semi"), "open")
+    scratch.drop("lists")
+    # what can have a partner: the sets that the rounds below read again and again
+    compared = scratch.save(held.join(open_lists.select("node").distinct(), "node", "left_semi"), "compared")
 
-    def texts_of(some: DataFrame) -> DataFrame:
+    def texts_of(some: DataFrame, tag: str) -> DataFrame:
         """node, text of its document with the smallest id."""
-        reps, rows = some.join(held, "node").select("node", "rep", "rep_key"), keyed(docs.select("doc_id", "text"))
-        return rows.join(reps, same_row(rows, reps)).dropDuplicates(["node"]).select("node", "text")
+        reps = scratch.save(some.join(compared, "node").select("node", "rep", "rep_key"), f"{tag}-reps")
+        rows = keyed(docs.select("doc_id", "text"))
+        own = rows.join(small(reps), same_row(rows, reps))
+        return scratch.save(own.dropDuplicates(["node"]).select("node", "text"), f"{tag}-texts")
 
     def confirm(pairs: DataFrame, tag: str) -> DataFrame:
         """Links among candidate pairs (a, b): sizes, then the estimate, then full sets."""
-        left = held.select(F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
-        right = held.select(F.col("node").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
-        near = pairs.distinct().join(left, "a").join(right, "b")
+        left = compared.select(F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
+        right = compared.select(F.col("node").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
+        near = pairs.join(left, "a").join(right, "b")
         both = shared_in_union(F.col("sa"), F.col("sb"), retained)
         union = F.size(F.array_union("sa", "sb"))
         # sketches of two small sets are the sets: their similarity is exact
-        small = (F.col("na") <= retained) & (F.col("nb") <= retained)
-        sound = F.when(small, F.size(F.array_intersect("sa", "sb")) * den >= union * num).otherwise(both >= shared)
-        hopeful = scratch.save(near.where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).where(sound).select("a", "b"), f"{tag}-pairs")
-        texts = texts_of(hopeful.select(F.col("a").alias("node")).union(hopeful.select("b")).distinct())
+        whole_sets = (F.col("na") <= retained) & (F.col("nb") <= retained)
+        sound = F.when(whole_sets, F.size(F.array_intersect("sa", "sb")) * den >= union * num).otherwise(both >= shared)
+        near = near.where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).where(sound)
+        hopeful = scratch.save(near.select("a", "b"), f"{tag}-pairs")
+        texts = texts_of(hopeful.select(F.col("a").alias("node")).union(hopeful.select("b")).distinct(), tag)
         a, b = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        return scratch.save(verified(hopeful.join(a, "a").join(b, "b"), words, threshold), f"{tag}-links")
-
-    # stars: each list's nodes with the one that shares most, as long as that is no pair of one component
-    start = lists.select("value", "node", "common")
-    many = start.groupBy("value").agg(F.count("*").alias("_n")).where("_n > 1").select("value")
-    open_lists = scratch.save(start.join(many, "value", "left_semi"), "open")
-    scratch.drop("lists")
-    found = None
-    if not open_lists.isEmpty():
-        centre = open_lists.groupBy("value").agg(F.max(F.struct("common", "node")).alias("c")).select("value", F.col("c.node").alias("b"))
-        pairs = open_lists.join(centre, "value").where("node <> b").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        links = confirm(pairs, "stars")
-        found = components(links, scratch, "stars")
-        label = found.select("node", "component")
-        told = open_lists.join(label, "node", "left").select("value", "node", F.coalesce("component", "node").alias("component"))
-        mixed = told.groupBy("value").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("value")
-        rest = scratch.save(told.join(mixed, "value", "left_semi").select("node", "component").distinct(), "rest")
-        if not rest.isEmpty():
-            pairs = scratch.save(exact_candidates(full_sets(texts_of(rest), words), rest, threshold), "rest-candidates")
-            found = components(links.unionByName(confirm(pairs, "rest")), scratch, "rest")
-    least = F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), F.col("rep_key").alias("key")))
-    of = held.select("node", "rep", "rep_key")
-    if found is None:
-        named = of.select("node", F.col("rep").alias("component_id"), F.col("rep_key").alias("component_key"))
+        links = scratch.save(verified(hopeful.join(a, "a").join(b, "b"), words, threshold), f"{tag}-links")
+        scratch.drop(f"{tag}-texts")
+        return links
+
+    # stars: each list's nodes with one of them, as long as they are in different components
+    told, links, found = open_lists.withColumn("component", F.col("node")), None, None
+    for turn in range(STARS):
+        best = F.struct("common", "node") if not turn else F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")
+        centre = told.groupBy("value").agg(F.max(F.struct(best.alias("best"), "node", "component")).alias("c")).select("value", F.col("c.node").alias("b"), F.col("c.component").alias("_with"))
+        pairs = told.join(centre, "value").where("component <> _with").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+        own = confirm(pairs, f"star{turn}")
+        links = own if links is None else links.unionByName(own)
+        found = components(links, scratch, f"star{turn}")
+        now = open_lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = now.groupBy("value").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("value")
+        told = scratch.save(now.join(mixed, "value", "left_semi"), f"told{turn}")
+        if told.isEmpty():
+            break
     else:
-        of = of.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        first = of.groupBy("component").agg(least.alias("_first")).select("component", F.col("_first.id").alias("component_id"), F.col("_first.key").alias("component_key"))
-        named = scratch.save(of.join(first, "component").select("node", "component_id", "component_key"), "named")
+        rest = scratch.save(told.select("node", "component").distinct(), "rest")
+        sets = full_sets(texts_of(rest.select("node"), "rest"), words)
+        pairs = scratch.save(exact_candidates(sets, rest, threshold, scratch), "rest-candidates")
+        found = components(links.unionByName(confirm(pairs, "rest")), scratch, "rest")
+    least = F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), F.col("rep_key").alias("key")))
+    of = held.select("node", "rep", "rep_key").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = of.groupBy("component").agg(least.alias("_first")).select("component", F.col("_first.id").alias("component_id"), F.col("_first.key").alias("component_key"))
+    named = scratch.save(of.join(first, "component").select("node", "component_id", "component_key"), "named")
     out = ids.join(named, "node", "left")
     alone = F.col("node").isNull()
     own_id = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
     kept = alone | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("component_key")))
+    scratch.keep("ids", "named", *[f"ids{k}" for k in range(1, 9)])
     return out.select("doc_id", "text_key", "n_shingles", own_id.alias("component_id"), kept.alias("kept"))
 
 
