@@ -10,7 +10,8 @@
    full sets, made again from the texts, verify.
 4. Verified links give components; lists whose nodes lie in one component are done. Nodes of the others (a small rest) are
    compared by full sets: prefixes that are exact for each class of sizes give the pairs of different components that may
-   still be similar, and these are verified like the rest. So no link that joins components is lost.
+   still be similar. Each node tries its nearest partners first, components are made anew, and pairs that they hold need no
+   look; what rounds leave is verified whole. So no link that joins components is lost.
 
 Nothing of a size that grows with the corpus comes to the driver. Hot values, centres and copies are pre-aggregated
 or meet in joins that adaptive execution splits.
@@ -38,8 +39,8 @@ from tesserae.llm.wordhash import set_prints, shingle_sets, slices
 RETAINED = 64
 #: Ratio of neighbouring classes of size.
 CLASS = 1.02
-#: Rounds of stars before sets of different components are compared pair by pair.
-STARS = 2
+#: Rounds in which each node of the rest tries the nearest of PARTNERS parts of its partners, before all that are left are compared.
+TRIES, PARTNERS = 3, 4
 #: Values by which two prefixes tell whether they have met before.
 HEAD = 64
 #: Probability with which a link may share fewer sketch values than least_shared says.
@@ -257,43 +258,56 @@ def linked(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(8, 10
         own = rows.join(small(reps), same_row(rows, reps))
         return scratch.save(own.dropDuplicates(["node"]).select("node", "text"), f"{tag}-texts")
 
-    def confirm(pairs: DataFrame, tag: str) -> DataFrame:
-        """Links among candidate pairs (a, b): sizes, then the estimate, then full sets."""
+    def hopeful(pairs: DataFrame, tag: str) -> DataFrame:
+        """Candidate pairs (a, b) that sizes and the estimate leave, with near, the share of the sketches that both hold."""
         left = compared.select(F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
         right = compared.select(F.col("node").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
-        near = pairs.join(left, "a").join(right, "b")
+        rows = pairs.join(left, "a").join(right, "b")
         both = shared_in_union(F.col("sa"), F.col("sb"), retained)
         union = F.size(F.array_union("sa", "sb"))
         # sketches of two small sets are the sets: their similarity is exact
         whole_sets = (F.col("na") <= retained) & (F.col("nb") <= retained)
         sound = F.when(whole_sets, F.size(F.array_intersect("sa", "sb")) * den >= union * num).otherwise(both >= shared)
-        near = near.where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).where(sound)
-        hopeful = scratch.save(near.select("a", "b"), f"{tag}-pairs")
-        texts = texts_of(hopeful.select(F.col("a").alias("node")).union(hopeful.select("b")).distinct(), tag)
+        rows = rows.where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).where(sound)
+        return scratch.save(rows.select("a", "b", (both / F.least(union, F.lit(retained))).alias("near")), f"{tag}-pairs")
+
+    def confirm(pairs: DataFrame, tag: str) -> DataFrame:
+        """Of hopeful pairs the links, on full sets."""
+        texts = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), tag)
         a, b = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        links = scratch.save(verified(hopeful.join(a, "a").join(b, "b"), words, threshold), f"{tag}-links")
+        links = scratch.save(verified(pairs.join(a, "a").join(b, "b"), words, threshold), f"{tag}-links")
         scratch.drop(f"{tag}-texts")
         return links
 
-    # stars: each list's nodes with one of them, as long as they are in different components
-    told, links, found = open_lists.withColumn("component", F.col("node")), None, None
-    for turn in range(STARS):
-        best = F.struct("common", "node") if not turn else F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")
-        centre = told.groupBy("value").agg(F.max(F.struct(best.alias("best"), "node", "component")).alias("c")).select("value", F.col("c.node").alias("b"), F.col("c.component").alias("_with"))
-        pairs = told.join(centre, "value").where("component <> _with").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-        own = confirm(pairs, f"star{turn}")
-        links = own if links is None else links.unionByName(own)
-        found = components(links, scratch, f"star{turn}")
-        now = open_lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = now.groupBy("value").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("value")
-        told = scratch.save(now.join(mixed, "value", "left_semi"), f"told{turn}")
-        if told.isEmpty():
-            break
-    else:
-        rest = scratch.save(told.select("node", "component").distinct(), "rest")
-        sets = full_sets(texts_of(rest.select("node"), "rest"), words)
-        pairs = scratch.save(exact_candidates(sets, rest, threshold, scratch), "rest-candidates")
-        found = components(links.unionByName(confirm(pairs, "rest")), scratch, "rest")
+    def settled(pairs: DataFrame, links: DataFrame) -> DataFrame:
+        """Components of the links and of those among the hopeful pairs.
+
+        Each node first tries the nearest of its partners; pairs that come to lie in one component need no look any more.
+        """
+        for turn in range(TRIES):
+            ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "near"))
+            best = ends.groupBy("a", F.pmod(F.xxhash64("b", F.lit(turn)), F.lit(PARTNERS)).alias("_part")).agg(F.max(F.struct("near", "b")).alias("_m")).select("a", F.col("_m.b").alias("b"))
+            best = scratch.save(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"try{turn}-best")
+            links = links.unionByName(confirm(best, f"try{turn}"))
+            found = components(links, scratch, f"try{turn}")
+            ca, cb = found.select(F.col("node").alias("a"), F.col("component").alias("ca")), found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+            apart = pairs.join(ca, "a", "left").join(cb, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+            pairs = scratch.save(apart.select("a", "b", "near").join(best, ["a", "b"], "left_anti"), f"try{turn}-left")
+            if pairs.isEmpty():
+                return found
+        return components(links.unionByName(confirm(pairs, "rest")), scratch, "rest")
+
+    # stars: each list's nodes with the one that shares most
+    centre = open_lists.groupBy("value").agg(F.max(F.struct("common", "node")).alias("c")).select("value", F.col("c.node").alias("b"))
+    pairs = open_lists.join(centre, "value").where("node <> b").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    links = confirm(hopeful(pairs, "star"), "star")
+    found = components(links, scratch, "star")
+    told = open_lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = told.groupBy("value").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("value")
+    rest = scratch.save(told.join(mixed, "value", "left_semi").select("node", "component").distinct(), "rest")
+    if not rest.isEmpty():
+        sets = full_sets(texts_of(rest.select("node"), "rest-sets"), words)
+        found = settled(hopeful(exact_candidates(sets, rest, threshold, scratch), "rest"), links)
     least = F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), F.col("rep_key").alias("key")))
     of = held.select("node", "rep", "rep_key").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = of.groupBy("component").agg(least.alias("_first")).select("component", F.col("_first.id").alias("component_id"), F.col("_first.key").alias("component_key"))

@@ -4,16 +4,16 @@ Counts of the highest order come from every trusted document; lower orders count
 order's probabilities are made by joins sharded on context and suffix: count with context sums, and with the next lower
 order. Bytes make a closed alphabet, so a table holds what the corpus has of 256**order and grows slowly.
 
-A document's perplexity is per byte. It is accepted where that lies between two quantiles, widened by a margin, of the trusted
-documents of its language (of all trusted documents, where a language has fewer than LEAST_TRUSTED). For the upper
-bound, perplexities are lowered by the allowance for short texts, on both sides of the comparison.
+A document's perplexity is per byte. It is accepted where its logarithm lies between two bounds from quantiles of its language, in
+trusted documents that the model has not seen (all of them, where a language has fewer than LEAST_TRUSTED). An
+allowance for short texts counts on both sides of the comparison.
 
 Tables of up to BROADCAST_ROWS rows go to the executors whole; beyond, documents are dealt into groups, each group
 asks for its own distinct n-grams, a join answers, and the group is scored from its answers. Both ways give the same numbers.
 
 Defined cases: a null or empty text has no perplexity and is rejected; a null language is a language of its own;
 repeated rows score alike; without trusted text nothing can be told and every text with bytes is accepted; an empty table
-gives no rows; long texts are read in slices; columns of clashing names do not matter, as only the named ones are read.
+gives no rows; long texts are read in slices; other columns are carried along under names of their own.
 """
 
 from __future__ import annotations
@@ -22,21 +22,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import Scratch, Shield
+from tesserae.llm.common import Scratch, Shield, small
 from tesserae.llm.wordhash import slices
 
 ORDER = 5
-#: Quantiles of trusted perplexity, and the factor by which each bound is widened.
-LOW, HIGH, MARGIN = 0.001, 0.998, 1.15
+#: Of so many folds of the trusted documents one is held out: the model does not see it, and it sets the bounds.
+FOLDS = 5
+#: Quantiles, and how many times as far from the median as the quantile the bound lies. Clean texts of known lines are very likely.
+LOW, HIGH = (0.01, 3.0), (0.95, 3.0)
 #: A mean over n bytes strays by about 1 / sqrt(n): nats of allowance at one byte, so that short texts are judged alike.
 SLACK = 2.0
-LEAST_TRUSTED = 50
-#: Rows of all tables of the model that are broadcast at most (16 bytes a row), and trusted ids (8 bytes).
+#: Trusted documents from which on a language has bounds of its own.
+LEAST_TRUSTED = 30
+#: Rows of all tables of the model that are broadcast at most (12 bytes a row in each worker).
 BROADCAST_ROWS = 3_000_000
-BROADCAST_IDS = 2_000_000
 #: Documents of a group where the model is not broadcast.
 GROUP_DOCS = 20_000
 #: Stands before the first byte; it occurs in no UTF-8 text.
@@ -58,38 +60,19 @@ def gram_codes(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Index:
-    """Values by code, in an open-addressed table that is read with whole arrays."""
+    """Values by code in two sorted arrays of 12 bytes an entry, searched with whole arrays."""
 
     def __init__(self, codes: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(len(codes)).bit_length() + 2)
-        self.keys, self.values = np.full(1 << self.bits, -1, dtype=np.int64), np.zeros(1 << self.bits, dtype=np.float32)
-        slot, todo, self.probes = self._slot(codes), np.arange(len(codes)), 0
-        while len(todo):
-            at = (slot[todo] + self.probes) & ((1 << self.bits) - 1)
-            free = self.keys[at] < 0
-            self.keys[at[free]] = codes[todo[free]]  # the last of several that meet stays
-            won = self.keys[at] == codes[todo]
-            self.values[at[won]] = values[todo[won]]
-            todo, self.probes = todo[~won], self.probes + 1
-
-    def _slot(self, codes: np.ndarray) -> np.ndarray:
-        return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        place = np.argsort(codes)
+        self.keys, self.values = codes[place], values[place].astype(np.float32)
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each code is held, and its value (0 if not)."""
-        slot = self._slot(codes)
-        hit, value = self.keys[slot] == codes, np.zeros(len(codes), dtype=np.float32)
-        value[hit] = self.values[slot[hit]]
-        todo = np.flatnonzero(~hit & (self.keys[slot] >= 0))
-        for probe in range(1, self.probes):
-            if not len(todo):
-                break
-            at = (slot[todo] + probe) & ((1 << self.bits) - 1)
-            own = self.keys[at]
-            good = own == codes[todo]
-            hit[todo[good]], value[todo[good]] = True, self.values[at[good]]
-            todo = todo[~good & (own >= 0)]
-        return hit, value
+        """Whether each of the ascending codes is held, and its value (0 if not)."""
+        if not len(self.keys):
+            return np.zeros(len(codes), dtype=bool), np.zeros(len(codes), dtype=np.float32)
+        at = np.minimum(np.searchsorted(self.keys, codes), len(self.keys) - 1)
+        hit = self.keys[at] == codes
+        return hit, np.where(hit, self.values[at], np.float32(0))
 
 
 class Scorer:
@@ -102,17 +85,19 @@ class Scorer:
         self.back = {o: Index(code[pick(1, o)], value[pick(1, o)]) for o in range(1, top + 1)}
 
     def logs(self, codes: np.ndarray) -> np.ndarray:
-        out, todo = np.zeros(len(codes)), np.arange(len(codes))
+        distinct, where = np.unique(codes, return_inverse=True)
+        out, todo = np.zeros(len(distinct)), np.arange(len(distinct))
         for order in range(self.top, 0, -1):
-            own = codes[todo] & ((1 << (8 * order)) - 1)
-            hit, value = self.prob[order].find(own)
+            own, back = np.unique(distinct[todo] & ((1 << (8 * order)) - 1), return_inverse=True)
+            hit, value = (x[back] for x in self.prob[order].find(own))
             out[todo[hit]] += value[hit]
-            todo, own = todo[~hit], own[~hit]
+            contexts, again = np.unique(own[back[~hit]] >> 8, return_inverse=True)
+            todo = todo[~hit]
             if not len(todo):
-                return out
-            out[todo] += self.back[order].find(own >> 8)[1]
+                return out[where]
+            out[todo] += self.back[order].find(contexts)[1][again]
         out[todo] -= np.log(256.0)
-        return out
+        return out[where]
 
     def text_logs(self, texts: list[bytes]) -> list[float]:
         """Sum of the log-probabilities of each text's bytes."""
@@ -239,31 +224,34 @@ def add_perplexity(docs: DataFrame, labels: DataFrame, order: int = ORDER, broad
     """docs with _perplexity (null without bytes; 256 without a model), _lower and _upper (its language's bounds) and _accepted."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
-    trusted = scratch.save(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct(), "trusted")
-    few = trusted.count() <= BROADCAST_IDS
-    model = train(docs.join(F.broadcast(trusted) if few else trusted, "doc_id", "left_semi").select("text"), order, scratch)
+    trusted = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    trusted = scratch.save(trusted.withColumn("_fold", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS))), "trusted")
+    learned = small(trusted.where("_fold > 0").select("doc_id"))
+    model = train(docs.join(learned, "doc_id", "left_semi").select("text"), order, scratch)
     scored = add_logs(docs, model, order, scratch, broadcast_rows).withColumn("_perplexity", F.when(F.col("_bytes") > 0, F.exp(-F.col("_log") / F.col("_bytes"))))
     scored = scratch.save(scored.drop("_log", "_bytes"), "scored")
-    scored = scored.withColumn("_judged", F.col("_perplexity") * F.exp(-SLACK / F.sqrt(F.greatest(F.octet_length("text"), F.lit(1)))))
-    known = scored.select("doc_id", "lang", "_perplexity", "_judged").where("_perplexity is not null").join(F.broadcast(trusted) if few else trusted, "doc_id", "left_semi")
-    bounds = lambda by: by.agg(F.array(F.percentile_approx("_perplexity", LOW, 100_000), F.percentile_approx("_judged", HIGH, 100_000)).alias("q"), F.count("*").alias("n")).collect()
-    # one row a language
-    overall = bounds(known.groupBy())[0]
-    if not overall["n"]:
-        limits, rest = {}, (0.0, float("inf"))
-    else:
-        limits = {r["lang"]: tuple(r["q"]) for r in bounds(known.groupBy("lang")) if r["n"] >= LEAST_TRUSTED}
-        rest = tuple(overall["q"])
-    names = ["low", "high"]
-    rows = [(lang, lo / MARGIN, hi * MARGIN) for lang, (lo, hi) in limits.items()]
-    own = F.lit(None)
-    for lang, lo, hi in rows:
-        same = F.col("lang").isNull() if lang is None else F.col("lang") == lang
-        own = F.when(same, F.struct(F.lit(lo).alias("low"), F.lit(hi).alias("high"))).otherwise(own) if rows else own
-    default = F.struct(F.lit(rest[0] / MARGIN).alias(names[0]), F.lit(rest[1] * MARGIN).alias(names[1]))
-    limit = F.coalesce(own, default) if rows else default
-    out = scored.withColumn("_limit", limit).withColumn("_lower", F.col("_limit.low")).withColumn("_upper", F.col("_limit.high")).drop("_limit")
-    return out.withColumn("_accepted", F.coalesce((F.col("_perplexity") >= F.col("_lower")) & (F.col("_judged") <= F.col("_upper")), F.lit(False)))
+    allowance = SLACK / F.sqrt(F.greatest(F.octet_length("text"), F.lit(1)))
+    scored = scored.withColumns({"_high": F.log("_perplexity") - allowance, "_low": F.log("_perplexity") + allowance})
+    known = scored.select("doc_id", "lang", "_high", "_low").where("_high is not null").join(small(trusted), "doc_id")
+    quantile = lambda c, q: F.percentile_approx(c, q, 100_000)
+    # what the model has seen is likelier to it: the upper bound starts from the median of what it has not seen, the spread is that of the many
+    seen, unseen = (F.when(F.col("_fold") > 0, F.col("_high")), F.when(F.col("_fold") == 0, F.col("_high")))
+    middle = [F.array(quantile("_low", 0.5), quantile("_low", LOW[0]), quantile(seen, 0.5), quantile(seen, HIGH[0]), F.coalesce(quantile(unseen, 0.5), quantile("_high", 0.5))).alias("q"), F.count("*").alias("n")]
+    overall = known.agg(*middle).collect()[0]
+    found = {r["lang"]: r["q"] for r in known.groupBy("lang").agg(*middle).collect() if r["n"] >= LEAST_TRUSTED}  # one row a language
+
+    def limits(q) -> Column:
+        low, high = (q[0] - LOW[1] * (q[0] - q[1]), q[4] + HIGH[1] * ((q[3] or 0.0) - (q[2] or 0.0))) if q else (float("-inf"), float("inf"))
+        return F.struct(F.lit(low).alias("low"), F.lit(high).alias("high"))
+
+    limit = limits(overall["q"] if overall["n"] else None)
+    for lang, q in found.items():
+        limit = F.when(F.col("lang").isNull() if lang is None else F.col("lang").eqNullSafe(F.lit(lang)), limits(q)).otherwise(limit)
+    scored = scored.withColumn("_limit", limit)
+    inside = (F.col("_low") >= F.col("_limit.low")) & (F.col("_high") <= F.col("_limit.high"))
+    scored = scored.withColumns({"_lower": F.exp("_limit.low"), "_upper": F.exp("_limit.high"), "_accepted": F.coalesce(inside, F.lit(False))})
+    scratch.keep("scored")
+    return scored.drop("_limit", "_high", "_low")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
