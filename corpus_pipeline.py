@@ -36,8 +36,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2048 tokens."""
-    return packing.pack_documents(docs, word_tokenizer())
+    """Pieces of sequences of at most 2048 tokens and 16 pieces: beside the tokens, the count limits sequences of short documents."""
+    return packing.pack_documents(docs, word_tokenizer(), packing.Capacity(documents=16))
 
 
 STAGES = [
