@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.llm.common import tidied
 from tesserae.llm.dom import Page, features, kept_text, parse
 from tesserae.llm.trees import Trees, fit
 
@@ -272,4 +273,4 @@ def main_texts(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(tidied(run), "page_id long, url string, text string, n_chars long")

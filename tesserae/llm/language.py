@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tesserae.llm.common import Scratch, Shield
+from tesserae.llm.common import Scratch, Shield, tidied
 
 SWITCH, CLIP = 12.0, -8.0
 #: Numbers (grams times languages) up to which the model is sent whole.
@@ -86,7 +86,7 @@ def count_grams(labelled: DataFrame) -> DataFrame:
                 if grams:
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(grams.keys()), pa.array(grams.values(), pa.int64())], names=["lang", "gram", "n"])
 
-    counted = labelled.select("text", "lang").mapInArrow(run, "lang string, gram string, n long")
+    counted = labelled.select("text", "lang").mapInArrow(tidied(run), "lang string, gram string, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -293,7 +293,7 @@ def label_spans(docs: DataFrame, counts: list[tuple[str, str, int]] | Joined, sp
     if isinstance(counts, Joined):
         return _by_groups(docs, counts, labelled, schema)
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    return docs.mapInArrow(lambda batches: labelled(Model(shared.value), batches), schema)
+    return docs.mapInArrow(tidied(lambda batches: labelled(Model(shared.value), batches)), schema)
 
 
 def _by_groups(docs: DataFrame, counts: Joined, labelled, schema: str) -> DataFrame:
@@ -324,7 +324,7 @@ def _by_groups(docs: DataFrame, counts: Joined, labelled, schema: str) -> DataFr
         model = Model.of(shared, zip(*[right.column(c).to_pylist() for c in ("kind", "gram", "lang", "n")]))
         return pa.Table.from_batches(labelled(model, left.select(range(n)).to_batches()))
 
-    asked = dealt.select("_group", "text").mapInArrow(needs, "_group long, kind int, gram string").distinct()
+    asked = dealt.select("_group", "text").mapInArrow(tidied(needs), "_group long, kind int, gram string").distinct()
     rows = asked.join(counts.stats, ["kind", "gram"]).select("_group", "kind", "gram", "lang", "n")
     return dealt.groupBy("_group").cogroup(rows.groupBy("_group")).applyInArrow(both, schema)
 

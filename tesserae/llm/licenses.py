@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.llm.common import tidied
+
 #: Exact phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 #: Short notices as words, and the method's labels.
@@ -148,7 +150,7 @@ def scan(docs: DataFrame, notices=NOTICES, phrases=BASE, per_edit: int = CHARS_P
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["doc_id", "n_words", "places", "notices"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, SCANNED)
+    return rows.mapInArrow(tidied(run), SCANNED)
 
 
 def license_digest(docs: DataFrame) -> DataFrame:

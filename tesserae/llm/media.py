@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import Scratch
+from tesserae.llm.common import Scratch, tidied
 from tesserae.llm.wordhash import slices
 
 UNIT, PAD = 576, b"\xff"
@@ -108,7 +108,7 @@ def digest_counts(docs: DataFrame) -> DataFrame:
                     found[d] = found.get(d, 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], names=["digest", "n"])
 
-    return _texts(docs).mapInArrow(run, "digest binary, n long").groupBy("digest").agg(F.sum("n").alias("n"))
+    return _texts(docs).mapInArrow(tidied(run), "digest binary, n long").groupBy("digest").agg(F.sum("n").alias("n"))
 
 
 def shared_bits(docs: DataFrame) -> np.ndarray:
@@ -167,8 +167,8 @@ def write_media(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame
                         found[d] = c
             yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.binary())], names=["digest", "bytes"])
 
-    media = scratch.save(_texts(docs).mapInArrow(rows, MEDIA).withColumn("rid", F.monotonically_increasing_id()), "media")
-    store = scratch.save(_texts(docs).mapInArrow(stored, "digest binary, bytes binary").dropDuplicates(["digest"]), "store")
+    media = scratch.save(_texts(docs).mapInArrow(tidied(rows), MEDIA).withColumn("rid", F.monotonically_increasing_id()), "media")
+    store = scratch.save(_texts(docs).mapInArrow(tidied(stored), "digest binary, bytes binary").dropDuplicates(["digest"]), "store")
     return media, store
 
 
@@ -193,7 +193,7 @@ def rebuilt(media: DataFrame) -> DataFrame:
                     raise ValueError("a payload differs from its length")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(payloads, pa.binary())], names=["doc_id", "n_bytes", "recipe", "payload"])
 
-    return media.mapInArrow(run, "doc_id long, n_bytes long, recipe binary, payload binary")
+    return media.mapInArrow(tidied(run), "doc_id long, n_bytes long, recipe binary, payload binary")
 
 
 def read_media(media: DataFrame, store: DataFrame) -> DataFrame:
@@ -230,4 +230,4 @@ def media_digest(docs: DataFrame) -> DataFrame:
                     column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(out, kinds)]], names=[c.split()[0] for c in DIGEST.split(", ")])
 
-    return payloads.mapInArrow(run, DIGEST)
+    return payloads.mapInArrow(tidied(run), DIGEST)

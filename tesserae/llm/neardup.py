@@ -29,11 +29,12 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import Scratch, Shield, small
-from tesserae.llm.wordhash import set_prints, shingle_sets, slices
+from tesserae.llm.common import Scratch, Shield, small, tidied
+from tesserae.llm.wordhash import BLOCK, set_prints, shingle_sets, utf8_slices
 
 #: Values that a sketch retains.
 RETAINED = 64
@@ -71,15 +72,14 @@ def sketches(docs: DataFrame, words: int, retained: int = RETAINED) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
         for batch in batches:
-            texts = [t.encode() for t in batch.column(2).to_pylist()]
-            for lo, hi in slices(texts):
-                sets = shingle_sets(texts[lo:hi], words)
+            for lo, hi, texts in utf8_slices(batch.column(2)):
+                sets = shingle_sets(texts, words)
                 prints = [set_prints(s) if len(s) else (None, None) for s in sets]
                 columns = (batch.column(0)[lo:hi], batch.column(1)[lo:hi], [len(s) for s in sets], [p[0] for p in prints], [p[1] for p in prints], [s[:retained] for s in sets])
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "text_key", "n_shingles", "node", "proof", "sketch"])
 
     rows = keyed(docs.select("doc_id", "text")).select("doc_id", "text_key", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, SKETCHES)
+    return rows.mapInArrow(tidied(run), SKETCHES)
 
 
 def verified(pairs: DataFrame, words: int, threshold: Fraction) -> DataFrame:
@@ -89,26 +89,22 @@ def verified(pairs: DataFrame, words: int, threshold: Fraction) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column(0), batch.column(1)
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = np.zeros(len(left), dtype=bool)
-            both = [t.encode() for pair in zip(left, right) for t in pair]
-            ends = [(lo // 2, -(-hi // 2)) for lo, hi in slices(both)]
-            done = 0
-            for _, hi in ends:
-                if hi <= done:
-                    continue
-                own = both[2 * done : 2 * hi]
-                distinct = list(dict.fromkeys(own))  # a centre occurs in many pairs
-                sets = dict(zip(distinct, shingle_sets(distinct, words)))
-                for i in range(done, hi):
-                    x, y = sets[both[2 * i]], sets[both[2 * i + 1]]
+            bytes_of = [pc.binary_length(batch.column(i)).to_numpy(zero_copy_only=False) for i in (2, 3)]
+            sizes, lo = np.cumsum(bytes_of[0] + bytes_of[1]), 0
+            while lo < len(a):
+                hi = max(lo + 1, int(np.searchsorted(sizes, (int(sizes[lo - 1]) if lo else 0) + BLOCK)))
+                left, right = (batch.column(i).slice(lo, hi - lo).cast(pa.binary()).to_pylist() for i in (2, 3))
+                distinct = list(dict.fromkeys(left + right))  # a centre occurs in many pairs
+                sets, keep = dict(zip(distinct, shingle_sets(distinct, words))), []
+                for x, y in zip(left, right):
+                    x, y = sets[x], sets[y]
                     same = len(np.intersect1d(x, y, assume_unique=True))
-                    keep[i] = same > 0 and den * same >= num * (len(x) + len(y) - same)
-                done = hi
-            mask = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
+                    keep.append(same > 0 and den * same >= num * (len(x) + len(y) - same))
+                mask = pa.array(keep, pa.bool_())
+                yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo).filter(mask) for c in (a, b)], names=["a", "b"])
+                lo = hi
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidied(run), "a long, b long")
 
 
 def full_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -116,12 +112,11 @@ def full_sets(texts: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [t.encode() for t in batch.column(1).to_pylist()]
-            for lo, hi in slices(raw):
-                sets = shingle_sets(raw[lo:hi], words)
+            for lo, hi, texts in utf8_slices(batch.column(1)):
+                sets = shingle_sets(texts, words)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(sets, pa.list_(pa.int64()))], names=["node", "values"])
 
-    rows = texts.mapInArrow(run, "node long, values array<long>")
+    rows = texts.mapInArrow(tidied(run), "node long, values array<long>")
     return rows.select("node", F.size("values").alias("n"), F.explode("values").alias("value"))
 
 

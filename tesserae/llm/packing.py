@@ -28,11 +28,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import Scratch
+from tesserae.llm.common import Scratch, tidied
 
 GROUP = 8192
 #: Bytes of text of which the distinct runs are encoded together (a longer text is taken whole).
-SLICE = 24_000_000
+SLICE = 8_000_000
 #: A run of letters before ASCII marks, which the tokenizer never joins to them; no apostrophe, which may begin a word part.
 TAIL = r"^(?P<stem>\p{L}+)(?P<tail>[!-&(-/:-@\[-`{-~]+)$"
 
@@ -213,7 +213,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(cut, PIECES)
+    return rows.mapInArrow(tidied(cut), PIECES)
 
 
 def best_fit(lengths: np.ndarray, cap: Capacity) -> tuple[np.ndarray, np.ndarray]:

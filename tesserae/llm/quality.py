@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import Scratch, Shield, small
-from tesserae.llm.wordhash import slices
+from tesserae.llm.common import Scratch, Shield, small, tidied
+from tesserae.llm.wordhash import utf8_slices
 
 ORDER = 5
 #: Of so many folds of the trusted documents one is held out: the model does not see it, and it sets the bounds.
@@ -99,28 +100,24 @@ class Scorer:
         out[todo] -= np.log(256.0)
         return out[where]
 
-    def text_logs(self, texts: list[bytes]) -> list[float]:
+    def text_logs(self, texts: pa.Array) -> list[float]:
         """Sum of the log-probabilities of each text's bytes."""
         sums: list[float] = []
-        for lo, hi in slices(texts):
-            codes, begins = gram_codes(texts[lo:hi], self.top)
+        for _, _, raw in utf8_slices(texts):
+            codes, begins = gram_codes(raw, self.top)
             total = np.concatenate(([0.0], np.cumsum(self.logs(codes))))
             sums += (total[begins[1:]] - total[begins[:-1]]).tolist()
         return sums
 
 
-def _utf8(column: pa.Array) -> list[bytes]:
-    return [b"" if t is None else t.encode() for t in column.to_pylist()]
-
-
 def count_grams(texts: DataFrame, order: int) -> DataFrame:
     """code, n: counts of the highest order over all rows of `text`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, codes, counts = _utf8(batch.column(0)), [], []
-            for lo, hi in slices(raw):
-                c, n = np.unique(gram_codes(raw[lo:hi], order)[0], return_counts=True)
+            codes, counts = [], []
+            for _, _, raw in utf8_slices(batch.column(0)):
+                c, n = np.unique(gram_codes(raw, order)[0], return_counts=True)
                 codes.append(c)
                 counts.append(n)
             if codes:
@@ -128,7 +125,7 @@ def count_grams(texts: DataFrame, order: int) -> DataFrame:
                 n = np.bincount(where, weights=np.concatenate(counts)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(n)], names=["code", "n"])
 
-    return texts.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(tidied(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -178,8 +175,8 @@ def add_logs(docs: DataFrame, model: DataFrame, order: int, scratch: Scratch, br
     place = names.index("text")
 
     def scored(table, scorer: Scorer):
-        raw = _utf8(table.column(place).combine_chunks() if isinstance(table, pa.Table) else table.column(place))
-        more = [pa.array(scorer.text_logs(raw), pa.float64()), pa.array([len(t) for t in raw], pa.int64())]
+        texts = table.column(place).combine_chunks() if isinstance(table, pa.Table) else table.column(place)
+        more = [pa.array(scorer.text_logs(texts), pa.float64()), pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())]
         kind = pa.Table if isinstance(table, pa.Table) else pa.RecordBatch
         return kind.from_arrays([table.column(i) for i in range(len(names))] + more, names=[*names, "_log", "_bytes"])
 
@@ -191,15 +188,15 @@ def add_logs(docs: DataFrame, model: DataFrame, order: int, scratch: Scratch, br
             for batch in batches:
                 yield scored(batch, scorer)
 
-        return docs.mapInArrow(run, schema)
+        return docs.mapInArrow(tidied(run), schema)
 
     groups = -(-docs.count() // GROUP_DOCS)
     dealt = docs.withColumn("_group", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)))
 
     def asked(table: pa.Table) -> pa.Table:
-        raw, found = _utf8(table.column(place).combine_chunks()), [np.zeros(0, dtype=np.int64)]
-        for lo, hi in slices(raw):
-            found.append(np.unique(gram_codes(raw[lo:hi], order)[0]))
+        found = [np.zeros(0, dtype=np.int64)]
+        for _, _, raw in utf8_slices(table.column(place).combine_chunks()):
+            found.append(np.unique(gram_codes(raw, order)[0]))
         top, kinds, orders, codes = np.unique(np.concatenate(found)), [], [], []
         for k in range(order, 0, -1):
             own = np.unique(top & ((1 << (8 * k)) - 1))

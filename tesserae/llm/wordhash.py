@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -95,6 +98,16 @@ def set_prints(own: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)[0]), int(b.astype(np.int64)[0])
 
 
+def utf8_slices(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of a column of strings of about `limit` bytes in sum, with their UTF-8 (null: empty)."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(sizes, (int(sizes[lo - 1]) if lo else 0) + limit)))
+        yield lo, hi, pc.fill_null(column.slice(lo, hi - lo).cast(pa.binary()), b"").to_pylist()
+        lo = hi
+
+
 def slices(texts: list, limit: int = BLOCK):
     """Ranges of texts of about `limit` bytes in sum."""
     lo = size = 0
