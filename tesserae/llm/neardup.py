@@ -41,7 +41,9 @@ RETAINED = 64
 #: Ratio of neighbouring classes of size.
 CLASS = 1.02
 #: Rounds in which each node of the rest tries the nearest of PARTNERS parts of its partners, before all that are left are compared.
-TRIES, PARTNERS = 3, 4
+TRIES, PARTNERS = 1, 4
+#: Numbers of 64 bits that tell how much two full sets differ at least.
+BITS = 16
 #: Values by which two prefixes tell whether they have met before.
 HEAD = 64
 #: Probability with which a link may share fewer sketch values than least_shared says.
@@ -108,30 +110,36 @@ def verified(pairs: DataFrame, words: int, threshold: Fraction) -> DataFrame:
 
 
 def full_sets(texts: DataFrame, words: int) -> DataFrame:
-    """node, n, value: every shingle of each text (node, text)."""
+    """node, n, values (every shingle of each text), bits: for each of 64 * BITS classes of values whether it holds an odd number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, texts in utf8_slices(batch.column(1)):
                 sets = shingle_sets(texts, words)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(sets, pa.list_(pa.int64()))], names=["node", "values"])
+                odd = np.array([np.bincount(x & (64 * BITS - 1), minlength=64 * BITS) & 1 for x in sets], dtype=np.uint8).reshape(len(sets), 64 * BITS)
+                bits = np.packbits(odd, axis=1).view(np.int64)
+                columns = [batch.column(0).slice(lo, hi - lo), pa.array([len(x) for x in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(list(bits), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "values", "bits"])
 
-    rows = texts.mapInArrow(tidied(run), "node long, values array<long>")
-    return rows.select("node", F.size("values").alias("n"), F.explode("values").alias("value"))
+    return texts.mapInArrow(tidied(run), "node long, n long, values array<long>, bits array<long>")
 
 
-def exact_candidates(shingles: DataFrame, labels: DataFrame, threshold: Fraction, scratch: Scratch) -> DataFrame:
+def exact_candidates(sets: DataFrame, labels: DataFrame, threshold: Fraction, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of nodes of different components that may be similar, by prefixes of full sets and classes of size.
 
     For sizes x >= y, similar sets share o = ceil(t / (1 + t) * (x + y)) shingles or more, so the first x - o + 1 and y - o + 1
     in the common order (rare first) meet. The smaller one is indexed under its class of size, for which x = y is the
     worst case; the larger asks each class down to t * x, with a prefix for that class alone. Of the values in which two
-    prefixes meet, the first gives the pair, as far as the HEAD first values of both tell; beyond, distinct() does.
+    prefixes meet, the first gives the pair, as far as the HEAD first values of both tell; beyond, distinct() does. Two sets
+    differ in at least as many values as their bits differ in, so a pair whose bits differ too much is no candidate.
     """
     num, den = threshold.numerator, threshold.denominator
+    sets = scratch.save(sets, "sets")
+    shingles = sets.select("node", "n", F.explode("values").alias("value"))
     often = shingles.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     met = shingles.join(often, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("met"))
-    met = scratch.save(met.join(labels, "node"), "met")
+    met = scratch.save(met.join(labels, "node").join(sets.select("node", "bits"), "node"), "met")
+    scratch.drop("sets")
 
     def need(x: Column, y: Column) -> Column:
         return F.floor((num * (x + y) + num + den - 1) / F.lit(num + den))
@@ -144,20 +152,22 @@ def exact_candidates(shingles: DataFrame, labels: DataFrame, threshold: Fraction
         """A row for each value of rank 1 to upto, with the first values among them."""
         rows = rows.withColumn("_met", F.slice("met", F.lit(1), F.greatest(F.least(upto - alone, F.size("met")), F.lit(0)).cast("int")))
         rows = rows.withColumn("head", F.transform(F.slice("_met", 1, HEAD), lambda m: m["value"]))
-        rows = rows.select("node", "n", "component", "_class", "head", alone.alias("_alone"), F.posexplode("_met").alias("_at", "m"))
-        return rows.select("node", "n", "component", "_class", "head", F.col("m.value").alias("value"), (F.col("_alone") + F.col("_at") + 1).alias("rank"))
+        rows = rows.select("node", "n", "component", "bits", "_class", "head", alone.alias("_alone"), F.posexplode("_met").alias("_at", "m"))
+        return rows.select("node", "n", "component", "bits", "_class", "head", F.col("m.value").alias("value"), (F.col("_alone") + F.col("_at") + 1).alias("rank"))
 
     index = prefixes(met.withColumn("_class", size_class(n)), n - need(n, n) + 1)
-    index = index.select("value", "_class", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rank").alias("rb"), F.col("component").alias("cb"), F.col("head").alias("hb"))
+    index = index.select("value", "_class", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rank").alias("rb"), F.col("component").alias("cb"), F.col("head").alias("hb"), F.col("bits").alias("bb"))
     least = F.ceil(n * num / F.lit(den))
     asked = met.withColumn("_class", F.explode(F.sequence(size_class(least), size_class(n))))
     asked = prefixes(asked, n - need(n, F.greatest(least, F.floor(F.pow(F.lit(CLASS), F.col("_class")) - 1e-6))) + 1)
-    asked = asked.select("value", "_class", F.col("node").alias("a"), F.col("n").alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"), F.col("head").alias("ha"))
+    asked = asked.select("value", "_class", F.col("node").alias("a"), F.col("n").alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"), F.col("head").alias("ha"), F.col("bits").alias("ba"))
     shared = need(F.col("na"), F.col("nb"))
     fits = (F.col("ca") != F.col("cb")) & (F.col("nb") * den >= F.col("na") * num) & ((F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a"))))
     fits = fits & (F.col("ra") <= F.col("na") - shared + 1) & (F.col("rb") <= F.col("nb") - shared + 1)
     # both heads are in the common order, so the first value of their meet is the first in which the prefixes meet
     fits = fits & (F.coalesce(F.get(F.array_intersect("ha", "hb"), F.lit(0)), F.col("value")) == F.col("value"))
+    differ = sum((F.bit_count(F.get("ba", F.lit(i)).bitwiseXOR(F.get("bb", F.lit(i)))) for i in range(BITS)), F.lit(0))
+    fits = fits & (differ <= F.col("na") + F.col("nb") - 2 * shared)
     return asked.join(index, ["value", "_class"]).where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
