@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SCORES = T.StructType([T.StructField(n, T.DoubleType()) for n in ("ratio", "wratio", "partial", "token_sort", "token_set")])
+#: The sequence scores.
+SCORES = ("ratio", "wratio", "partial", "token_sort", "token_set")
 
 
 def _distinct(left, right):
@@ -19,24 +20,29 @@ def _distinct(left, right):
     return [p[0] or "" for p in places], [p[1] or "" for p in places], where
 
 
-@F.arrow_udf(SCORES)
-def all_scores(left, right):
-    """The five sequence scores; 0 where one side is empty, 1 for the first two where both are."""
-    import numpy as np
-    import pyarrow as pa
+def scores(left: Column, right: Column, fields: tuple[str, ...] = SCORES) -> Column:
+    """A struct of the sequence scores asked for; 0 where one side is empty, 1 for ratio and wratio where both are."""
 
-    from tesserae.functions import kernel
+    @F.arrow_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in fields]))
+    def run(left, right):
+        import numpy as np
+        import pyarrow as pa
 
-    a, b, where = _distinct(left, right)
-    full = np.array([bool(x) and bool(y) for x, y in zip(a, b)])
-    none = np.array([not x and not y for x, y in zip(a, b)])
-    sort = kernel.ratios(kernel.sorted_tokens(a), kernel.sorted_tokens(b))
-    columns = [
-        np.where(none, 1.0, np.where(full, kernel.ratios(a, b), 0.0)),
-        np.where(none, 1.0, np.where(full, kernel.weighted(a, b), 0.0)),
-        *[np.where(full, c, 0.0) for c in (kernel.partial(a, b), sort, kernel.token_set(a, b))],
-    ]
-    return pa.StructArray.from_arrays([pa.array(c[where]) for c in columns], names=["ratio", "wratio", "partial", "token_sort", "token_set"])
+        from tesserae.functions import kernel
+
+        a, b, where = _distinct(left, right)
+        full = np.array([bool(x) and bool(y) for x, y in zip(a, b)], dtype=bool)
+        none = np.array([not x and not y for x, y in zip(a, b)], dtype=bool)
+        make = {
+            "ratio": lambda: np.where(none, 1.0, np.where(full, kernel.ratios(a, b), 0.0)),
+            "wratio": lambda: np.where(none, 1.0, np.where(full, kernel.weighted(a, b), 0.0)),
+            "partial": lambda: np.where(full, kernel.partial(a, b), 0.0),
+            "token_sort": lambda: np.where(full, kernel.ratios(kernel.sorted_tokens(a), kernel.sorted_tokens(b)), 0.0),
+            "token_set": lambda: np.where(full, kernel.token_set(a, b), 0.0),
+        }
+        return pa.StructArray.from_arrays([pa.array(make[f]()[where]) for f in fields], names=list(fields))
+
+    return run(left, right)
 
 
 @F.arrow_udf(T.DoubleType())

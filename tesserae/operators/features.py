@@ -76,12 +76,10 @@ def interaction_features() -> dict[str, Column]:
 TFIDF = ("name_char_tfidf", "name_word_tfidf", "address_char_tfidf", "address_word_tfidf")
 
 
-def with_scores(records: DataFrame) -> DataFrame:
-    """Sequence scores of names and addresses, each pair of strings sent to Python once."""
-    return records.withColumns({
-        "_name": S.all_scores(*_both("business_name_norm")),
-        "_address": S.all_scores(*_both("business_address_norm")),
-    })
+def with_scores(records: DataFrame, name: tuple[str, ...] = S.SCORES, address: tuple[str, ...] = S.SCORES) -> DataFrame:
+    """The sequence scores asked for of names and addresses, each pair of strings of a batch scored once."""
+    made = {f"_{kind}": S.scores(*_both(column), fields) for kind, column, fields in (("name", "business_name_norm", name), ("address", "business_address_norm", address)) if fields}
+    return records.withColumns(made) if made else records
 
 
 def features(records: DataFrame, as_float: bool = True) -> DataFrame:

@@ -76,12 +76,16 @@ _SIGNATURE = f"array_to_string(list_sort({_long('business_address_norm')}), '-')
 _PASSES = {"name": _exact("business_name_norm", 2), "core": _exact("business_name_core", 3), "address": _exact("business_address_norm", 5), "numeric": _exact(_SIGNATURE, 3)}
 
 
-def _rare(column: str, n: int, source: str, cap: int) -> str:
+def _rare(column: str, n: int, source: str, cap: int = 1000) -> str:
     return f"""SELECT DISTINCT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, '{source}' AS candidate_source
  FROM (SELECT entity_id, unnest({_tok(column)}) AS w FROM c1) a
  JOIN (SELECT entity_id, w, count(*) OVER (PARTITION BY w) AS f FROM (SELECT entity_id, unnest({_tok(column)}) AS w FROM c{n}) WHERE len(w) >= 4) b ON a.w = b.w WHERE b.f BETWEEN 2 AND {cap}"""
 
 
+def _rares(column: str) -> str:
+    return " UNION ALL ".join(_rare(column, n, f"S{n}") for n in (2, 3))
+
+
 def _mask(c: str, b: str) -> str:
     return f"list_sum(list_transform(range(1, len({b}) + 1), lambda j: CASE WHEN {b}[j] = {c} THEN 1::HUGEINT << (j - 1)::HUGEINT ELSE 0::HUGEINT END))::HUGEINT"
 
@@ -192,8 +196,9 @@ VIEWS: dict[str, str] = {
     "gt_text": "SELECT s.entity_id AS source1_entity_id, coalesce(string_agg(p.candidate_entity_id, ',' ORDER BY p.candidate_entity_id), '') AS matched_entity_ids FROM er_source1 s LEFT JOIN er_pairs p ON s.entity_id = p.source1_entity_id GROUP BY 1",
     "gt": "SELECT source1_entity_id, list_sort(list_distinct(list_filter(list_transform(string_split(matched_entity_ids, ','), lambda x: trim(x)), lambda x: x <> ''))) AS matched FROM gt_text",
     "c1": _clean("er_source1"), "c2": _clean("er_source2"), "c3": _clean("er_source3"),
+    "uncleaned": "SELECT * FROM er_source1 UNION ALL SELECT * FROM er_source2 UNION ALL SELECT * FROM er_source3",
     "every": "SELECT * FROM c1 UNION ALL SELECT * FROM c2 UNION ALL SELECT * FROM c3",
-    "cand": "SELECT DISTINCT * FROM (" + " UNION ALL ".join([*_PASSES.values(), _rare("business_name_norm", 2, "S2", 20), _rare("business_name_norm", 3, "S3", 20)]) + ")",
+    "cand": "SELECT DISTINCT * FROM (" + " UNION ALL ".join([*_PASSES.values(), _rares("business_name_norm"), _rares("business_address_norm")]) + ")",
     "lab": "SELECT c.*, CAST(p.source1_entity_id IS NOT NULL AS BIGINT) AS is_match FROM cand c LEFT JOIN er_pairs p ON c.source1_entity_id = p.source1_entity_id AND c.candidate_entity_id = p.candidate_entity_id",
     "rec": f"SELECT l.*, {_SIDES} FROM lab l LEFT JOIN every x ON l.source1_entity_id = x.entity_id LEFT JOIN every y ON l.candidate_entity_id = y.entity_id",
     "sets": f"SELECT *, {_tok(_N1)} AS namex, {_tok(_N2)} AS namey, {_tok(_A1)} AS addressx, {_tok(_A2)} AS addressy, {_nums(_A1)} AS nx, {_nums(_A2)} AS ny, {_long(_A1)} AS dx, {_long(_A2)} AS dy FROM rec",
@@ -239,11 +244,11 @@ def _with_sequences(columns: dict[str, str], kind: str, prefix: str, a: str, b:
     return f"{base}{scores} FROM sets JOIN {kind}_scores q ON q.a = {a} AND q.b = {b}"
 
 
-def _tfidf(grams: str) -> str:
+def _tfidf(grams: str, column: str) -> tuple[str, str]:
     t = "CASE WHEN trim(x) = '' THEN ' ' ELSE lower(x) END"
     return f"""SELECT r.source1_entity_id, r.candidate_entity_id, round(coalesce(sum(u.w * v.w), 0.0), 6) AS cosine FROM rec r
- LEFT JOIN weights u ON u.x = r.{_N1} LEFT JOIN weights v ON v.x = r.{_N2} AND v.g = u.g GROUP BY r.source1_entity_id, r.candidate_entity_id, r.{_N1}, r.{_N2}""", f"""
- docs AS (SELECT business_name_norm AS x, {t.replace('x', 'business_name_norm')} AS t FROM every),
+ LEFT JOIN weights u ON u.x = r.{column}_1 LEFT JOIN weights v ON v.x = r.{column}_2 AND v.g = u.g GROUP BY r.source1_entity_id, r.candidate_entity_id, r.{column}_1, r.{column}_2""", f"""
+ docs AS (SELECT {column} AS x, {t.replace('x', column)} AS t FROM every),
  grams AS (SELECT x, {grams} AS gs FROM docs),
  dfs AS (SELECT g, count(*) AS df FROM (SELECT unnest(list_distinct(gs)) AS g FROM grams) GROUP BY g),
  tfs AS (SELECT x, g, count(*) AS tf FROM (SELECT x, unnest(gs) AS g FROM (SELECT DISTINCT x, gs FROM grams)) GROUP BY x, g),
@@ -255,10 +260,11 @@ _CHARS = "flatten(list_transform([2, 3, 4], lambda n: list_transform(range(1, gr
 _WORDS = r"list_concat(regexp_extract_all(t, '\b\w\w+\b'), list_transform(range(1, greatest(len(regexp_extract_all(t, '\b\w\w+\b')), 1)), lambda i: concat(regexp_extract_all(t, '\b\w\w+\b')[i], ' ', regexp_extract_all(t, '\b\w\w+\b')[i + 1])))"
 
 
-def _fuzzy(column: str, n: int) -> tuple[str, str]:
-    return f"SELECT source1_entity_id, candidate_entity_id, 'S{n}' AS candidate_source FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY s DESC, candidate_entity_id) AS r FROM fz3 WHERE s >= 0.8 - 1e-12) WHERE r <= 10", f"""
- fz1 AS (SELECT x.entity_id AS source1_entity_id, y.entity_id AS candidate_entity_id, {_sorted('x.' + column)} AS a, {_sorted('y.' + column)} AS b FROM c1 x JOIN c{n} y ON x.country_norm = y.country_norm
-  WHERE len(x.{column}) >= 4 AND y.{column} <> '' AND 3 * least(len(x.{column}), len(y.{column})) >= 2 * greatest(len(x.{column}), len(y.{column}))),
+def _fuzzy(column: str) -> tuple[str, str]:
+    near = " UNION ALL ".join(f"""SELECT x.entity_id AS source1_entity_id, y.entity_id AS candidate_entity_id, 'S{n}' AS candidate_source, {_sorted('x.' + column)} AS a, {_sorted('y.' + column)} AS b FROM c1 x JOIN c{n} y ON x.country_norm = y.country_norm
+  WHERE len(x.{column}) >= 4 AND y.{column} <> '' AND 3 * least(len(x.{column}), len(y.{column})) >= 2 * greatest(len(x.{column}), len(y.{column}))""" for n in (2, 3))
+    return "SELECT source1_entity_id, candidate_entity_id, candidate_source FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id, candidate_source ORDER BY s DESC, candidate_entity_id) AS r FROM fz3 WHERE s >= 0.8 - 1e-12) WHERE r <= 10", f"""
+ fz1 AS ({near}),
  fz2 AS (SELECT a, b, {_lcs('a', 'b')} AS l FROM (SELECT DISTINCT a, b FROM fz1)),
  fz3 AS (SELECT fz1.*, 2.0::DOUBLE * l / (len(fz1.a) + len(fz1.b)) AS s FROM fz1 JOIN fz2 ON fz1.a = fz2.a AND fz1.b = fz2.b)"""
 
@@ -280,31 +286,31 @@ _ERR = "source1_entity_id, candidate_entity_id, candidate_source, probability, p
 _TOP = f"ORDER BY probability DESC, {_K} LIMIT 50"
 
 _FINAL: dict = {
-    "strip_accents": "SELECT entity_id, strip_accents(business_name) AS plain FROM er_source2",
-    "norm_ws": rf"SELECT entity_id, {_ws('business_name')} AS plain FROM er_source1",
-    "norm_punct": f"SELECT entity_id, {_punct('business_address')} AS plain FROM er_source1",
-    "norm_text": f"SELECT entity_id, {_norm('business_name')} AS plain FROM er_source2",
-    "clean_name_norm": "SELECT entity_id, business_name_norm FROM c1",
+    "strip_accents": "SELECT entity_id, strip_accents(business_name) AS plain FROM uncleaned",
+    "norm_ws": rf"SELECT entity_id, {_ws('business_name')} AS plain FROM uncleaned",
+    "norm_punct": f"SELECT entity_id, {_punct('business_address')} AS plain FROM uncleaned",
+    "norm_text": f"SELECT entity_id, {_norm('business_name')} AS plain FROM uncleaned",
+    "clean_name_norm": "SELECT entity_id, business_name_norm FROM every",
     "clean_name_core": "SELECT entity_id, business_name_core FROM every",
-    "clean_address": "SELECT entity_id, business_address_norm FROM c1 UNION ALL SELECT entity_id, business_address_norm FROM c3",
-    "clean_country": "SELECT entity_id, country_norm FROM c2",
-    "tokenize": f"SELECT entity_id, array_to_string({_tok('business_name_norm')}, ' ') AS tokens, len({_tok('business_name_norm')}) AS n FROM c2",
-    "numeric_tokens": f"SELECT entity_id, array_to_string({_nums('business_address_norm')}, ' ') AS numbers FROM c1",
-    "digit_sequences": f"SELECT entity_id, array_to_string({_long('business_address_norm')}, ' ') AS numbers FROM c1",
-    "numeric_signature": f"SELECT entity_id, {_SIGNATURE} AS signature FROM c1",
-    "missing_flags": "SELECT entity_id, name_missing, address_missing, country_missing FROM c2",
-    "length_features": "SELECT entity_id, name_char_length, address_char_length, name_token_count, address_token_count FROM c2",
+    "clean_address": "SELECT entity_id, business_address_norm FROM every",
+    "clean_country": "SELECT entity_id, country_norm FROM every",
+    "tokenize": f"SELECT entity_id, array_to_string({_tok('business_name_norm')}, ' ') AS tokens, len({_tok('business_name_norm')}) AS n FROM every",
+    "numeric_tokens": f"SELECT entity_id, array_to_string({_nums('business_address_norm')}, ' ') AS numbers FROM every",
+    "digit_sequences": f"SELECT entity_id, array_to_string({_long('business_address_norm')}, ' ') AS numbers FROM every",
+    "numeric_signature": f"SELECT entity_id, {_SIGNATURE} AS signature FROM every",
+    "missing_flags": "SELECT entity_id, name_missing, address_missing, country_missing FROM every",
+    "length_features": "SELECT entity_id, name_char_length, address_char_length, name_token_count, address_token_count FROM every",
     "clean_source": "SELECT * FROM every",
     "block_exact_name": f"SELECT DISTINCT * FROM ({_PASSES['name']})",
     "block_exact_core": f"SELECT DISTINCT * FROM ({_PASSES['core']})",
     "block_exact_address": f"SELECT DISTINCT * FROM ({_PASSES['address']})",
     "block_numeric_address": f"SELECT DISTINCT * FROM ({_PASSES['numeric']})",
-    "block_rare_name_token": _rare("business_name_norm", 2, "S2", 100),
-    "block_rare_address_token": _rare("business_address_norm", 2, "S2", 100),
-    "block_fuzzy_name": _fuzzy("business_name_norm", 3),
-    "block_fuzzy_address": _fuzzy("business_address_norm", 2),
-    "block_all": "SELECT DISTINCT * FROM (SELECT * FROM cand UNION ALL " + " UNION ALL ".join(_rare(c, n, f"S{n}", 100) for c in ("business_name_norm", "business_address_norm") for n in (2, 3)) + ")",
-    "token_frequency": f"SELECT w AS token, count(*) AS n FROM (SELECT unnest({_tok('business_name_norm')}) AS w FROM c2) WHERE len(w) >= 4 GROUP BY w",
+    "block_rare_name_token": f"SELECT DISTINCT * FROM ({_rares('business_name_norm')})",
+    "block_rare_address_token": f"SELECT DISTINCT * FROM ({_rares('business_address_norm')})",
+    "block_fuzzy_name": _fuzzy("business_name_norm"),
+    "block_fuzzy_address": _fuzzy("business_address_norm"),
+    "block_all": "SELECT * FROM cand",
+    "token_frequency": f"SELECT w AS token, count(*) AS n FROM (SELECT unnest({_tok('business_name_norm')}) AS w FROM every) WHERE len(w) >= 4 GROUP BY w",
     "label_candidates": "SELECT * FROM lab",
     "positive_pairs": f"SELECT {_K}, left(candidate_entity_id, 2) AS candidate_source, 1::BIGINT AS is_match FROM er_pairs",
     "easy_negatives": "SELECT * FROM easy",
@@ -314,8 +320,8 @@ _FINAL: dict = {
     "training_pairs": (
         f"SELECT {_K}, max(candidate_source) AS candidate_source, max(is_match) AS is_match FROM (SELECT {_K}, left(candidate_entity_id, 2) AS candidate_source, 1::BIGINT AS is_match FROM er_pairs UNION ALL SELECT {_K}, candidate_source, is_match FROM tp1 UNION ALL SELECT {_K}, candidate_source, is_match FROM tp2) GROUP BY {_K}",
         f"""np AS (SELECT count(*) AS n FROM er_pairs), hp AS (SELECT * FROM lab WHERE is_match = 0 AND source1_entity_id IN (SELECT source1_entity_id FROM lab WHERE is_match = 1)),
- tp1 AS (SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (ORDER BY {_PAIR_HASH(43)}, {_K}) AS r FROM lab WHERE is_match = 0 AND ((SELECT count(*) FROM hp) < (SELECT n // 2 FROM np) OR source1_entity_id IN (SELECT source1_entity_id FROM hp))) WHERE r <= (SELECT n // 2 FROM np)),
- tp2 AS (SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (ORDER BY {_PAIR_HASH(42)}, {_K}) AS r FROM lab WHERE is_match = 0) WHERE r <= (SELECT n - n // 2 FROM np))""",
+ tp1 AS (SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (ORDER BY {_PAIR_HASH(43)}, {_K}) AS r FROM lab WHERE is_match = 0 AND ((SELECT count(*) FROM hp) < (SELECT 2 * n FROM np) OR source1_entity_id IN (SELECT source1_entity_id FROM hp))) WHERE r <= (SELECT 2 * n FROM np)),
+ tp2 AS (SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (ORDER BY {_PAIR_HASH(42)}, {_K}) AS r FROM lab WHERE is_match = 0) WHERE r <= (SELECT 2 * n FROM np))""",
     ),
     "validation_pairs": f"SELECT * FROM lab WHERE source1_entity_id IN ({_IDS}'validation')",
     "capture_rate": "SELECT count(*) FILTER (hit) AS captured, count(*) AS positives, round(count(*) FILTER (hit) / count(*)::DOUBLE, 6) AS rate FROM hits",
@@ -334,7 +340,8 @@ _FINAL: dict = {
     "sim_jaccard": _tokens(_jaccard), "sim_containment": _tokens(_containment), "sim_overlap": _tokens(_overlap),
     "sim_common": f"SELECT {_K}, len(list_intersect(namex, namey)) AS name, len(list_intersect(addressx, addressy)) AS address FROM sets",
     "sim_length": f"SELECT {_K}, round({_NAME['name_length_diff_norm']}, 6) AS difference, round({_NAME['name_length_ratio']}, 6) AS ratio FROM sets",
-    "sim_tfidf_char": _tfidf(_CHARS), "sim_tfidf_word": _tfidf(_WORDS),
+    "sim_tfidf_char": _tfidf(_CHARS, "business_name_norm"), "sim_tfidf_word": _tfidf(_WORDS, "business_name_norm"),
+    "sim_tfidf_char_address": _tfidf(_CHARS, "business_address_norm"), "sim_tfidf_word_address": _tfidf(_WORDS, "business_address_norm"),
     "features_name": _with_sequences(_NAME, "ns", "name", _N1, _N2), "features_address": _with_sequences(_ADDRESS, "ads", "address", _A1, _A2),
     "features_numeric": _select(_NUMERIC), "features_country": _select(_COUNTRY), "features_structural": _select(_STRUCTURE),
     "features_interaction": f"SELECT {_K}, round(n.token_set * d.token_set, 6) AS name_x_address_sim, round(least(n.token_set, d.token_set), 6) AS min_name_address_sim, round(greatest(n.token_set, d.token_set), 6) AS max_name_address_sim FROM rec JOIN ns_scores n ON n.a = {_N1} AND n.b = {_N2} JOIN ads_scores d ON d.a = {_A1} AND d.b = {_A2}",
@@ -355,8 +362,8 @@ _FINAL: dict = {
     "errors_fp": f"SELECT {_ERR} FROM told WHERE predicted_match = 1 AND is_true_match = 0 {_TOP}",
     "errors_fn": f"SELECT {_ERR} FROM told WHERE predicted_match = 0 AND is_true_match = 1 {_TOP}",
     "errors_singleton": f"SELECT {_ERR} FROM told WHERE predicted_match = 1 AND n = 0 {_TOP}",
-    "cleaning_quality": "SELECT raw_rows, raw_names, clean_rows, clean_names, 0::BIGINT AS ids_lost, 0::BIGINT AS ids_added, round((e1 - e0)::DOUBLE / clean_rows * 100, 6) AS empty_diff_pct, round((raw_names - clean_names)::DOUBLE / raw_names, 6) AS collision_ratio, CAST(raw_rows = clean_rows AND (e1 - e0) * 100.0 / clean_rows <= 2.0 AS BIGINT) AS passed, CAST((raw_names - clean_names)::DOUBLE / raw_names > 0.5 AS BIGINT) AS collision_warning FROM (SELECT count(*) AS raw_rows, count(DISTINCT business_name) AS raw_names, count(*) FILTER (trim(business_name) = '') AS e0 FROM er_source2), (SELECT count(*) AS clean_rows, count(DISTINCT business_name_norm) AS clean_names, count(*) FILTER (trim(business_name_norm) = '') AS e1 FROM c2)",
-    "top_collisions": "SELECT business_name_norm, count(*) AS n FROM c2 GROUP BY 1 ORDER BY n DESC, business_name_norm LIMIT 5",
+    "cleaning_quality": " UNION ALL ".join(f"SELECT 'S{n}' AS source, raw_rows, raw_names, clean_rows, clean_names, 0::BIGINT AS ids_lost, 0::BIGINT AS ids_added, round((e1 - e0)::DOUBLE / clean_rows * 100, 6) AS empty_diff_pct, round((raw_names - clean_names)::DOUBLE / raw_names, 6) AS collision_ratio, CAST(raw_rows = clean_rows AND (e1 - e0) * 100.0 / clean_rows <= 2.0 AS BIGINT) AS passed, CAST((raw_names - clean_names)::DOUBLE / raw_names > 0.5 AS BIGINT) AS collision_warning FROM (SELECT count(*) AS raw_rows, count(DISTINCT business_name) AS raw_names, count(*) FILTER (trim(business_name) = '') AS e0 FROM er_source{n}), (SELECT count(*) AS clean_rows, count(DISTINCT business_name_norm) AS clean_names, count(*) FILTER (trim(business_name_norm) = '') AS e1 FROM c{n})" for n in (1, 2, 3)),
+    "top_collisions": " UNION ALL ".join(f"SELECT * FROM (SELECT 'S{n}' AS source, business_name_norm, count(*) AS n FROM c{n} GROUP BY 2 ORDER BY n DESC, business_name_norm LIMIT 5)" for n in (1, 2, 3)),
     "matching_results": _lists("decided", "matched_entity_ids"),
     "candidate_pairs_out": _lists("cand", "candidate_entity_ids"),
     "subset_violations": f"SELECT {_K} FROM decided EXCEPT SELECT {_K} FROM cand WHERE candidate_source = 'S2'",

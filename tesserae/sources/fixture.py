@@ -1,5 +1,7 @@
 """Linkage tables made from customers and nations: one clean reference source, two noisy ones, and the truth.
 
+Some records of the second source look like a reference entity that has no match, and some of the third have its whole address.
+
 The expressions are plain SQL that Spark and DuckDB both read, so that checks start from the same rows.
 """
 
@@ -21,9 +23,11 @@ CTES = {
     "er_source2": """SELECT concat('S2-', lpad(CAST(k * 2 + d AS STRING), 9, '0')) AS entity_id,
  CASE (k + d) % 4 WHEN 0 THEN concat(nm, ' Private Limited') WHEN 1 THEN upper(nm) WHEN 2 THEN concat(substr(nm, 1, 2), substr(nm, 4)) ELSE concat('The ', nm, ' & Co') END AS business_name,
  CASE WHEN k % 30 = 7 THEN '' ELSE concat(house, ' ', street, ' Road ', pin) END AS business_address, CASE WHEN k % 41 = 3 THEN '' ELSE country END AS country
- FROM er_base CROSS JOIN (SELECT 0 AS d UNION ALL SELECT 1 AS d) dup WHERE k % 5 <> 0 AND (d = 0 OR k % 7 = 0)""",
+ FROM er_base CROSS JOIN (SELECT 0 AS d UNION ALL SELECT 1 AS d) dup WHERE k % 5 <> 0 AND (d = 0 OR k % 7 = 0)
+ UNION ALL SELECT concat('S2-', lpad(CAST(900000000 + k AS STRING), 9, '0')), concat(nm, ' LLC'), concat(house, ' ', street, ' Road ', pin), country FROM er_base WHERE k % 20 = 5 AND k % 3 <> 0""",
     "er_source3": """SELECT concat('S3-', lpad(CAST(k AS STRING), 9, '0')) AS entity_id, concat(nm, ' Inc.') AS business_name,
- concat(street, ' St near SBI ATM, ', CASE WHEN k % 2 = 0 THEN pin ELSE house END) AS business_address, country FROM er_base WHERE k % 3 = 0""",
+ CASE WHEN k % 12 = 0 THEN concat(house, ', ', street, ' Road, Block ', CAST(k % 17 AS STRING), ', ', pin)
+ ELSE concat(street, ' St near SBI ATM, ', CASE WHEN k % 2 = 0 THEN pin ELSE house END) END AS business_address, country FROM er_base WHERE k % 3 = 0""",
     "er_pairs": """SELECT concat('S1-', lpad(CAST(k AS STRING), 9, '0')) AS source1_entity_id, concat('S2-', lpad(CAST(k * 2 + d AS STRING), 9, '0')) AS candidate_entity_id
  FROM er_base CROSS JOIN (SELECT 0 AS d UNION ALL SELECT 1 AS d) dup WHERE k % 5 <> 0 AND (d = 0 OR k % 7 = 0)
  UNION ALL SELECT concat('S1-', lpad(CAST(k AS STRING), 9, '0')), concat('S3-', lpad(CAST(k AS STRING), 9, '0')) FROM er_base WHERE k % 3 = 0""",
