@@ -147,7 +147,10 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
 def nearest(table: DataFrame, queries: DataFrame, k: int = 10, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: each query row's k nearest found among the rows of table."""
     rows = valid_vectors(table)
-    drawn = rows.select("vector").orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id").limit(sample).collect()  # bounded by `sample`
+    # the smallest hashes; a bound on them keeps each partition from sending `sample` rows of its own
+    drawn_hash, share = F.xxhash64("vec_id", F.lit(SEED)), 1.1 * sample / max(rows.count(), 1)
+    low = rows if share >= 1 else rows.where(drawn_hash <= int(-(2.0**63) + 2.0**64 * share))
+    drawn = low.select("vector").orderBy(drawn_hash, "vec_id").limit(sample).collect()  # bounded by `sample`
     lengths = Counter(len(r["vector"]) for r in drawn)
     out_type = "query_id long, vec_id long, score double"
     if not lengths:
