@@ -42,6 +42,8 @@ LEAST_TRUSTED = 30
 BROADCAST_ROWS = 3_000_000
 #: Documents of a group where the model is not broadcast.
 GROUP_DOCS = 20_000
+#: Bytes of text whose n-grams a worker holds at once, some 100 bytes of memory each.
+SLICE = 500_000
 #: Stands before the first byte; it occurs in no UTF-8 text.
 PAD = 0xFF
 
@@ -103,7 +105,7 @@ class Scorer:
     def text_logs(self, texts: pa.Array) -> list[float]:
         """Sum of the log-probabilities of each text's bytes."""
         sums: list[float] = []
-        for _, _, raw in utf8_slices(texts):
+        for _, _, raw in utf8_slices(texts, SLICE):
             codes, begins = gram_codes(raw, self.top)
             total = np.concatenate(([0.0], np.cumsum(self.logs(codes))))
             sums += (total[begins[1:]] - total[begins[:-1]]).tolist()
@@ -116,7 +118,7 @@ def count_grams(texts: DataFrame, order: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes, counts = [], []
-            for _, _, raw in utf8_slices(batch.column(0)):
+            for _, _, raw in utf8_slices(batch.column(0), SLICE):
                 c, n = np.unique(gram_codes(raw, order)[0], return_counts=True)
                 codes.append(c)
                 counts.append(n)
@@ -195,7 +197,7 @@ def add_logs(docs: DataFrame, model: DataFrame, order: int, scratch: Scratch, br
 
     def asked(table: pa.Table) -> pa.Table:
         found = [np.zeros(0, dtype=np.int64)]
-        for _, _, raw in utf8_slices(table.column(place).combine_chunks()):
+        for _, _, raw in utf8_slices(table.column(place).combine_chunks(), SLICE):
             found.append(np.unique(gram_codes(raw, order)[0]))
         top, kinds, orders, codes = np.unique(np.concatenate(found)), [], [], []
         for k in range(order, 0, -1):
