@@ -6,7 +6,7 @@ the join, from a pre-aggregated count, so hot keys never meet.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -58,28 +58,44 @@ def rare_tokens(s1: DataFrame, target: DataFrame, column: str, source: str, cap:
     return _paired(side(s1, "source1_entity_id").join(side(target, "candidate_entity_id"), "token"), source)
 
 
+#: Characters counted one by one for the fuzzy pass; all others count as one more.
+COUNTED = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def character_counts(text: Column) -> Column:
+    """How often each of COUNTED occurs, and how many characters are none of them."""
+    own = [F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))) for c in COUNTED]
+    rest = F.length(text) - sum(own[1:], own[0])
+    return F.array(*[c.cast("int") for c in (*own, rest)])
+
+
 def fuzzy(s1: DataFrame, target: DataFrame, column: str, source: str, k: int = 10, cutoff: float = 0.8, first: int = 50_000) -> DataFrame:
     """The k best targets of the same country by token-sort ratio, at `cutoff` or more; ties to the smaller id.
 
     A ratio of c needs lengths within c / (2 - c) of each other, so pairs are joined on country and a band of lengths: three
-    neighbouring bands of the target meet one of S1's and no pair is lost. Character counts bound the LCS in the same way.
+    neighbouring bands of the target meet one of S1's and no pair is lost. The common subsequence has at most as many of a
+    character as either side: pairs whose counts allow no ratio of c are never scored.
     """
     bound = cutoff / (2 - cutoff)
     order = Window.partitionBy("country_norm").orderBy("entity_id")
     # what a country may contribute is part of the operator; ids give it an order that does not depend on the layout
     left = s1.select("entity_id", "country_norm", F.col(column).alias("_a")).withColumn("_r", F.row_number().over(order)).where((F.col("_r") <= first) & (F.length("_a") >= 4))
     band = lambda c: F.floor(F.log(F.greatest(F.length(c), F.lit(1))) / F.log(F.lit(1 / bound)) + 1e-9)
-    left = left.select(F.col("entity_id").alias("source1_entity_id"), "country_norm", "_a", band("_a").alias("_band"))
-    right = target.select(F.col("entity_id").alias("candidate_entity_id"), "country_norm", F.col(column).alias("_b")).where(F.length("_b") > 0)
+    left = left.select(F.col("entity_id").alias("source1_entity_id"), "country_norm", "_a", band("_a").alias("_band"), character_counts(F.col("_a")).alias("_ca"))
+    right = target.select(F.col("entity_id").alias("candidate_entity_id"), "country_norm", F.col(column).alias("_b")).where(F.length("_b") > 0).withColumn("_cb", character_counts(F.col("_b")))
     right = right.withColumn("_band", F.explode(F.array(*[band("_b") + i for i in (-1, 0, 1)])))
     near = F.least(F.length("_a"), F.length("_b")) >= F.lit(bound - 1e-9) * F.greatest(F.length("_a"), F.length("_b"))
-    scored = left.join(right, ["country_norm", "_band"]).where(near).withColumn("_score", token_sort_score("_a", "_b")).where(F.col("_score") >= cutoff - 1e-12)
+    common = F.aggregate(F.zip_with("_ca", "_cb", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
+    enough = 2 * common >= F.lit(cutoff - 1e-9) * (F.length("_a") + F.length("_b"))
+    scored = left.join(right, ["country_norm", "_band"]).where(near & enough).withColumn("_score", token_sort_score("_a", "_b")).where(F.col("_score") >= cutoff - 1e-12)
     best = Window.partitionBy("source1_entity_id").orderBy(F.col("_score").desc(), "candidate_entity_id")
     return _paired(scored.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= k), source)
 
 
-def all_passes(s1: DataFrame, targets: dict[str, DataFrame], only: list[str] | None = None, fuzzy_too: bool = False, rare_cap: int = 1000) -> DataFrame:
-    """The union of the enabled passes over all targets, each pair once."""
+def all_passes(s1: DataFrame, targets: dict[str, DataFrame], only: list[str] | None = None, fuzzy_too: bool = False, rare_cap: int = 1000, ids: DataFrame | None = None) -> DataFrame:
+    """The union of the enabled passes over all targets, each pair once; for the given reference ids (source1_entity_id) alone, where given."""
+    if ids is not None:
+        s1 = s1.join(ids.select(F.col("source1_entity_id").alias("entity_id")), "entity_id", "left_semi")
     passes = {
         "exact_name": exact_name, "exact_core": exact_core, "exact_address": exact_address, "numeric_address": numeric_address,
         "rare_name": lambda s, t, src: rare_tokens(s, t, "business_name_norm", src, rare_cap),

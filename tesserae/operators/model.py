@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -10,15 +13,19 @@ from pyspark.sql import functions as F
 
 from tesserae.operators.features import ID_COLUMNS, feature_names
 
+log = logging.getLogger(__name__)
+
 #: Weights of the fixed scorer over native features; they sum to 1.
 LINEAR = {"name_exact": 0.15, "name_core_exact": 0.25, "name_jaccard": 0.15, "name_containment": 0.1, "numeric_token_overlap": 0.15, "has_exact_digit_match": 0.15, "country_match": 0.05}
 
 
 def assemble(features: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Adds the vector `features`, in the given order; id and label columns may not be among the names, missing ones are left out."""
+    """Adds the vector `features`, in the given order; id and label columns may not be among the names, missing ones are left out with a warning."""
     wanted = names or feature_names(features)
     if bad := set(wanted) & set(ID_COLUMNS):
         raise ValueError(f"no features: {sorted(bad)}")
+    if lost := [n for n in wanted if n not in features.columns]:
+        log.warning("features that the table lacks: %s", lost)
     return VectorAssembler(inputCols=[n for n in wanted if n in features.columns], outputCol="features").transform(features)
 
 
@@ -49,3 +56,29 @@ def save(model: GBTClassificationModel, path: str) -> None:
 
 def load(path: str) -> GBTClassificationModel:
     return GBTClassificationModel.load(path)
+
+
+def area_under_pr(model: GBTClassificationModel, features: DataFrame, names: list[str] | None = None) -> float:
+    return BinaryClassificationEvaluator(labelCol="is_match", metricName="areaUnderPR").evaluate(model.transform(assemble(features, names)))
+
+
+def search(taught: DataFrame, held: DataFrame, space: dict[str, tuple], **start) -> tuple[dict, float]:
+    """One parameter of `train` after the other: the value with the largest area under precision and recall on `held` stays.
+
+    Returns the parameters and that area; of equal areas the earlier value counts, the starting one first.
+    """
+    names = feature_names(taught)
+    tried: dict[tuple, float] = {}
+
+    def area(options: dict) -> float:
+        key = tuple(sorted(options.items()))
+        if key not in tried:
+            tried[key] = area_under_pr(train(taught, **options), held, names)
+        return tried[key]
+
+    best, most = dict(start), area(start)
+    for name, values in space.items():
+        for value in values:
+            if (found := area({**best, name: value})) > most:
+                best, most = {**best, name: value}, found
+    return best, most

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.operators.truth import hash_order
+from tesserae.operators.truth import hash_order, smallest
 
 KEY = ["source1_entity_id", "candidate_entity_id"]
 
@@ -27,7 +27,7 @@ def positives(true_pairs: DataFrame, ids: DataFrame | None = None) -> DataFrame:
 
 
 def _draw(df: DataFrame, n: int, seed: int) -> DataFrame:
-    return df.withColumn("_h", hash_order(seed, *KEY)).orderBy("_h", *KEY).limit(n).drop("_h")
+    return smallest(df.withColumn("_h", hash_order(seed, *KEY)), n, *KEY).where("_first").drop("_h", "_first")
 
 
 def easy_negatives(labelled: DataFrame, n: int, seed: int = 42) -> DataFrame:

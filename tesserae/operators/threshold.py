@@ -17,6 +17,15 @@ def predictions_at(scored: DataFrame, ids: DataFrame, threshold: float) -> DataF
     return ids.select("source1_entity_id").join(hit, "source1_entity_id", "left").select("source1_entity_id", F.coalesce("predicted", F.array().cast("array<string>")).alias("predicted"))
 
 
+def decided(scored: DataFrame, threshold: float, own: dict[str, float | None] | None = None) -> DataFrame:
+    """Pairs that reach the threshold, or the one of their source where `own` gives one."""
+    cut = F.lit(float(threshold))
+    for source, value in (own or {}).items():
+        if value is not None:
+            cut = F.when(F.col("candidate_source") == source, F.lit(float(value))).otherwise(cut)
+    return scored.where(F.col("probability") >= cut)
+
+
 def sweep(scored: DataFrame, truth: DataFrame, first: int = FIRST, last: int = LAST, source: str | None = None) -> DataFrame:
     """One row a threshold: macro scores and totals over all entities of the truth, against the whole truth.
 

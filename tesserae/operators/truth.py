@@ -54,31 +54,34 @@ def hash_order(seed: int, *columns: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *columns))
 
 
-def split(ids: DataFrame, ratio: float = 0.2, seed: int = 42) -> DataFrame:
-    """source1_entity_id, part (train or validation): max(1, int(n * ratio)) ids validate.
+def smallest(keyed: DataFrame, n: int, *ties: str) -> DataFrame:
+    """keyed with _first: whether a row is among the n smallest in the order of _h (an md5), then `ties`.
 
-    The n-th smallest hash decides, found by a top-n on its own; no window over all ids.
+    Hashes are even, so one prefix of four hexadecimal digits holds the cut. The counts of prefixes (at most 65,536) tell
+    which; only the rows of that prefix are ranked, no window or top-n holds all rows.
     """
-    if not 0 < ratio < 1:
-        raise ValueError("ratio must lie between 0 and 1")
-    keyed = ids.select("source1_entity_id").withColumn("_h", hash_order(seed, "source1_entity_id"))
-    n = keyed.count()
-    if not n:
-        return keyed.select("source1_entity_id", F.lit("train").alias("part"))
-    want = max(1, int(n * ratio))
-    # hashes are even, so one range of prefixes holds the cut; only that range is ranked
-    counts = keyed.groupBy(F.substring("_h", 1, 2).alias("_p")).agg(F.count("*").alias("c")).orderBy("_p").collect()  # 256 rows
-    before, prefix = 0, counts[-1]["_p"]
+    prefix = F.substring("_h", 1, 4)
+    counts = keyed.groupBy(prefix.alias("_p")).agg(F.count("*").alias("c")).orderBy("_p").collect()
+    before, cut = 0, None
     for row in counts:
-        if before + row["c"] >= want:
-            prefix = row["_p"]
+        if before + row["c"] > n:
+            cut = row["_p"]
             break
         before += row["c"]
-    inside = F.substring("_h", 1, 2)
-    ranked = keyed.where(inside == prefix).withColumn("_r", F.row_number().over(Window.orderBy("_h", "source1_entity_id")))
-    part = F.when(F.col("_r") <= want - before, "validation").otherwise("train")
-    rest = keyed.where(inside != prefix).select("source1_entity_id", F.when(inside < prefix, "validation").otherwise("train").alias("part"))
-    return ranked.select("source1_entity_id", part.alias("part")).unionByName(rest)
+    if cut is None:
+        return keyed.withColumn("_first", F.lit(True))
+    ranked = keyed.where(prefix == cut).withColumn("_r", F.row_number().over(Window.orderBy("_h", *ties)))
+    ranked = ranked.withColumn("_first", F.col("_r") <= n - before).drop("_r")
+    return keyed.where(prefix != cut).withColumn("_first", prefix < cut).unionByName(ranked)
+
+
+def split(ids: DataFrame, ratio: float = 0.2, seed: int = 42) -> DataFrame:
+    """source1_entity_id, part (train or validation): max(1, int(n * ratio)) ids validate, those with the smallest hashes."""
+    if not 0 < ratio < 1:
+        raise ValueError("ratio must lie between 0 and 1")
+    keyed = ids.select("source1_entity_id").withColumn("_h", hash_order(seed, "source1_entity_id"))
+    want = max(1, int(keyed.count() * ratio))
+    return smallest(keyed, want, "source1_entity_id").select("source1_entity_id", F.when(F.col("_first"), "validation").otherwise("train").alias("part"))
 
 
 def split_pack(split_ids: DataFrame, source1: DataFrame, parsed: DataFrame, part: str) -> dict[str, DataFrame]:

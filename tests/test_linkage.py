@@ -86,20 +86,80 @@ def test_files_round_trip(spark, tmp_path):
 
 
 def test_pipeline_end_to_end(spark, tmp_path):
-    from tesserae.plans.config import Blocking, Config, Training
-    from tesserae.plans.pipeline import run
-    from tesserae.sources.files import write_tsv
+    """All stages, then the test stages again from the saved artefacts, for other test data and in a folder for each kind."""
+    from tesserae.plans.config import Blocking, Config, Thresholds, Training
+    from tesserae.plans.pipeline import Run, call, infer, run
+    from tesserae.sources import files
 
-    raw = Tables(spark, DATA).raw
+    raw, data, out = Tables(spark, DATA).raw, str(tmp_path / "in"), str(tmp_path / "out")
     for kind in ("train", "test"):
         for n in (1, 2, 3):
-            write_tsv(raw[f"s{n}"], str(tmp_path / f"{kind}_source{n}.tsv"))
-    write_tsv(raw["truth"], str(tmp_path / "train_ground_truth.tsv"))
-    config = Config(blocking=Blocking(passes=("exact_core", "exact_address", "numeric_address", "rare_name")), training=Training(rounds=5, depth=2, rate=0.3))
-    errors, warnings = run(spark, str(tmp_path), str(tmp_path / "out"), config)
+            files.write_tsv(raw[f"s{n}"], f"{data}/{kind}/{kind}_source{n}.tsv")
+    files.write_tsv(raw["truth"], f"{data}/train/train_ground_truth.tsv")
+    assert files.find_data(spark, [str(tmp_path / "none"), data]) == data
+    parts = dict(blocking=Blocking(passes=("exact_core", "exact_address", "numeric_address", "rare_name")), training=Training(rounds=5, depth=2, rate=0.3))
+    errors, warnings = run(spark, data, out, Config(**parts))
     assert errors == [] and warnings == []
     lines = open(tmp_path / "out" / "matching_results.tsv").read().splitlines()
     assert len(lines) == 151 and any("S2-" in line for line in lines)
+    assert len(files.read_json(f"{out}/model_feature_schema.json")["feature_columns"]) == 44
+    facts = files.read_json(f"{out}/experiment.json")
+    assert facts["config"]["training"]["rounds"] == 5 and "threshold" in facts["facts"]
+
+    fewer = raw["s1"].orderBy("entity_id").limit(40)
+    files.write_tsv(fewer, f"{data}/test/test_source1.tsv")
+    assert infer(spark, data, out, Config(**parts)) == ([], [])
+    again = open(tmp_path / "out" / "matching_results.tsv").read().splitlines()
+    assert len(again) == 41 and set(again) <= set(lines)
+
+    closed = Config(**parts, thresholds=Thresholds(s3=1.1))
+    call(Run(spark, data, out, closed), ["results"])
+    assert not any("S3-" in line for line in open(tmp_path / "out" / "matching_results.tsv").read().splitlines()[1:])
+
+
+def test_encodings_line_breaks_and_archives(spark, tmp_path):
+    import zipfile
+
+    from tesserae.sources import files
+
+    head = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
+    for name, text, encoding in (("u", "S1-1\tCaf\u00e9 \ufffd\tx\tFR\n", "utf-8"), ("l", "S1-1\tCaf\u00e9\tx\tFR\n", "latin-1"), ("b", 'S1-1\t"a\nb ""c"""\tx\t\n', "utf-8")):
+        (tmp_path / f"{name}.tsv").write_bytes((head + text).encode(encoding))
+    read = lambda n: [tuple(r) for r in files.read_source(spark, str(tmp_path / f"{n}.tsv")).collect()]
+    assert files.layout(spark, str(tmp_path / "u.tsv")) == ("UTF-8", False)
+    assert read("u") == [("S1-1", "Caf\u00e9 \ufffd", "x", "FR")] and read("l") == [("S1-1", "Caf\u00e9", "x", "FR")]
+    assert read("b") == [("S1-1", 'a\nb "c"', "x", "")]
+    files.pack(str(tmp_path), str(tmp_path / "all.zip"))
+    with zipfile.ZipFile(tmp_path / "all.zip") as z:
+        assert z.namelist() == ["b.tsv", "l.tsv", "u.tsv"] and z.read("l.tsv") == (tmp_path / "l.tsv").read_bytes()
+    scored = spark.createDataFrame([(1, 0.5, 0.25)], "is_match int, a double, b double")
+    files.write_label_first_csv(scored, ["b", "a"], str(tmp_path / "csv"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "csv")).collect()] == ["1,0.250000,0.500000"]
+    for n in (1, 2):
+        files.append_parquet(spark.range(n), str(tmp_path / "grown"))
+    assert spark.read.parquet(str(tmp_path / "grown")).count() == 3
+
+
+def test_draws_equal_sorting(spark):
+    from tesserae.operators import pairs as P
+
+    rows = spark.range(500).select(F.concat(F.lit("S1-"), F.col("id") % 70).alias("source1_entity_id"), F.concat(F.lit("S2-"), "id").alias("candidate_entity_id"), F.lit(0).alias("is_match"))
+    for n in (0, 1, 37, 499, 500, 900):
+        want = rows.orderBy(G.hash_order(7, *P.KEY), *P.KEY).limit(n)
+        assert sorted(map(tuple, P.easy_negatives(rows, n, 7).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_search_keeps_the_best(spark):
+    from tesserae.operators import model as L
+
+    rows = spark.range(300).select(F.concat(F.lit("S1-"), "id").alias("source1_entity_id"), F.concat(F.lit("S2-"), "id").alias("candidate_entity_id"), F.lit("S2").alias("candidate_source"), ((F.col("id") % 7 + F.col("id") % 3) > 4).cast("int").alias("is_match"), (F.col("id") % 7).cast("double").alias("name_jaccard"), (F.col("id") % 3).cast("double").alias("name_containment"))
+    best, area = L.search(rows, rows, {"depth": (1, 4)}, rounds=2, depth=1)
+    assert best["depth"] == 4 and area > 0.95
+
+
+@pytest.mark.parametrize("name", ["block_fuzzy_name", "block_fuzzy_address"])
+def test_fuzzy_passes_equal_sql(spark, con, name):
+    test_query_equals_sql(spark, con, name)
 
 
 def test_stream_matches_like_batch(spark, tmp_path):
