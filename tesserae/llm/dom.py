@@ -5,7 +5,10 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 
@@ -16,6 +19,7 @@ _TAG = re.compile(
 )
 _ATTR = re.compile(r"(class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _TOKEN = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[^\W\d_]+")
 
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -186,16 +190,38 @@ _HINTS = {k: frozenset(v.split()) for k, v in HINTS.items()}
 _KINDS = ("nav", "header", "footer", "aside", "form", "article", "main")
 _GROUPS = {"ul": "list", "ol": "list", "li": "list", "dl": "list", "dd": "list", "dt": "list", "menu": "list", "p": "flow", "pre": "flow", "blockquote": "flow", "h1": "head", "h2": "head", "h3": "head", "h4": "head", "h5": "head", "h6": "head", "table": "table", "tr": "table", "td": "table", "th": "table", "tbody": "table", "figure": "figure", "figcaption": "figure", "div": "box", "section": "box", "center": "box", "#text": "bare", "body": "body", "html": "body"}
 _GROUP_NAMES = ("list", "flow", "head", "table", "figure", "box", "bare", "body")
-N_FEATURES = 2 * len(_KINDS) + len(_GROUP_NAMES) + 3 * len(_HINTS) + 24
+#: Numbers that attribute tokens are hashed to; words of a text at most for its first ones to count as hints, and how many count.
+HASHED, SHORT, LEADING = 32, 12, 4
+N_FEATURES = 2 * len(_KINDS) + len(_GROUP_NAMES) + 4 * len(_HINTS) + HASHED + 10 + 24
+
+
+@lru_cache(maxsize=100_000)
+def _bucket(token: str) -> int:
+    return crc32(token.encode()) % HASHED
+
+
+def _said(text: str) -> list:
+    """Which hints the first words of a short text give, such as those of a heading above comments or links."""
+    words = text.split(None, SHORT)
+    if not 0 < len(words) <= SHORT:
+        return _SILENT
+    tokens = {w for w in _WORD.findall(" ".join(words[:LEADING]).lower()) if len(w) > 3}
+    return [int(not h.isdisjoint(tokens)) for h in _HINTS.values()]
+
+
+_SILENT = [0] * len(_HINTS)
 
 
 def features(page: Page) -> np.ndarray:
-    """A row for each node: tag, attributes (own, above, below), depth, subtree density, siblings, place in the page."""
+    """A row for each node: tag, attributes (own, above, below), depth, subtree density, siblings, place in the page, hints that
+    the first text gives where it is short."""
     nodes, n = page.nodes, len(page.nodes)
     hints = list(_HINTS.values())
     chars, words, punct, links = ([getattr(x, a) for x in nodes] for a in ("chars", "words", "punct", "links"))
     tags, flows, items, heads, texts = [1] * n, [0] * n, [0] * n, [0] * n, [0] * n
     below = [[0] * (len(_HINTS) + 2) for _ in range(n)]
+    last = list(range(n))  # node of a subtree, the last in order
+    first_run = [x.runs[0] if x.runs else len(page.runs) for x in nodes]
     own_hints = [[int(not h.isdisjoint(x.tokens)) for h in hints] if x.tokens else None for x in nodes]
     for i in range(n - 1, -1, -1):
         x = nodes[i]
@@ -205,6 +231,8 @@ def features(page: Page) -> np.ndarray:
         texts[i] += bool(x.runs)
         if x.parent >= 0:
             p = x.parent
+            last[p] = max(last[p], last[i])
+            first_run[p] = min(first_run[p], first_run[i])
             for total in (chars, words, punct, links, tags, flows, items, heads, texts):
                 total[p] += total[i]
             b, o = below[p], below[i]
@@ -214,6 +242,9 @@ def features(page: Page) -> np.ndarray:
                     b[k] = 1
             b[-2] |= o[-2] or x.tag == "article"
             b[-1] |= o[-1] or x.tag == "main"
+    said = [_said(page.runs[r][1]) if r < len(page.runs) else _SILENT for r in first_run]
+    alike = Counter((x.parent, x.tag, x.tokens) for x in nodes)
+    h1 = next((i for i, x in enumerate(nodes) if x.tag == "h1"), -1)
     whole = max(1, chars[0])
     before, seen = [0] * n, 0
     out = np.zeros((n, N_FEATURES), dtype=np.float32)
@@ -235,6 +266,16 @@ def features(page: Page) -> np.ndarray:
         place = x.place
         prev = kids[place - 1] if 0 < place < len(kids) else -1
         after = kids[place + 1] if place + 1 < len(kids) else -1
+        hashed = [0] * HASHED
+        for token in x.tokens:
+            hashed[_bucket(token)] = 1
+        row += hashed + said[i]
+        row += [
+            int(p >= 0 and any(said[p][1:])), int(prev >= 0 and _GROUPS.get(nodes[prev].tag) == "head" and any(said[prev][1:])),
+            int(x.tag == "h1"), 0 if h1 < 0 else (i > h1) - (i < h1), links[prev] / max(1, chars[prev]) if prev >= 0 else 0,
+            links[after] / max(1, chars[after]) if after >= 0 else 0, int(after >= 0 and _GROUPS.get(nodes[after].tag) == "list"), alike[p, x.tag, x.tokens],
+            chars[p] / whole if p >= 0 else 1, int(p >= 0 and p < h1 <= last[p]),
+        ]
         row += [
             x.depth, place, len(kids), place / len(kids), math.log1p(chars[i]), math.log1p(words[i]), links[i] / max(1, chars[i]),
             math.log1p(chars[i] / tags[i]), punct[i] / max(1, words[i]), words[i] / max(1, texts[i]), math.log1p(tags[i]), flows[i], items[i],

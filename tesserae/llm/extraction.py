@@ -5,7 +5,8 @@ siblings. The decoder picks the set of nodes with the largest sum of log-odds in
 kept, so no part of a rejected subtree stays and no kept text hangs below a rejected ancestor. Kept runs are joined in page order.
 
 The training pages are generated here with known labels: many layouts of articles among menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments, with broken markup; TRAIN_PAGES of them bound the sample.
+notices, adverts, forms and reader comments, with broken markup, some without any telling attribute; TRAIN_PAGES of them
+bound the sample.
 
 Defined cases: a null or empty html, or one of which nothing is kept, gives an empty text; a page cut off anywhere is read to its
 end (an unfinished tag is markup); repeated rows give equal rows; pages of any length are read whole in linear time;
@@ -51,7 +52,8 @@ class _Writer:
     """A page under construction: markup, and the label of each text."""
 
     def __init__(self, rng: random.Random):
-        self.rng, self.out, self.number = rng, [], 0
+        self.rng, self.out = rng, []
+        self.opaque = rng.random() < 0.15  # names that tell nothing, as build tools make them
 
     def words(self, least: int, most: int) -> str:
         r = self.rng
@@ -63,14 +65,25 @@ class _Writer:
             made = [w.upper() for w in made]
         return " ".join(made) + r.choice((".", ".", "", "!", "?"))
 
-    def text(self, main: bool, least: int = 1, most: int = 60) -> None:
-        """A text with a mark that tells its label after parsing."""
-        self.out.append(f"{'§+' if main else '§-'}{self.words(least, most)}")
+    def text(self, main: bool, least: int = 1, most: int = 60, lead: str = "") -> None:
+        """A text with a mark that tells its label after parsing; it may begin with one of the leads."""
+        said = self.rng.choice(lead.split("|")) + " " if lead and self.rng.random() < 0.6 else ""
+        self.out.append(f"{'§+' if main else '§-'}{said}{self.words(least, most)}")
 
-    def box(self, tag: str, names: str, inside, close: bool = True) -> None:
+    def heading(self, lead: str) -> None:
+        """A heading over what is no main text, often a plain saying alone."""
+        tag = self.rng.choice(("h2", "h3", "h3", "h4", "p", "div"))
+        said = self.rng.choice(lead.split("|")) if tag in ("p", "div") or self.rng.random() < 0.7 else self.words(1, 4)
+        self.out.append(f"<{tag}>§-{said}</{tag}>")
+
+    def box(self, tag: str, names: str, inside, close: bool = True, sure: bool = False) -> None:
         r = self.rng
-        name = r.choice(names.split()) if names and r.random() < 0.85 else ""
-        if name and r.random() < 0.3:
+        if tag == "p":  # a paragraph without a name is main text as far as anyone can tell
+            tag, sure = ("div", sure) if self.opaque else ("p", True)
+        name = r.choice(names.split()) if names and (sure or r.random() < 0.85) else ""
+        if self.opaque:
+            name = r.choice(("", f"x{r.randint(1, 9)}", f"c{r.randint(10, 99)}", "css-" + "".join(r.choice("abcdefgh0123") for _ in range(5))))
+        elif name and r.random() < 0.3:
             name += r.choice(("-wrap", "-box", " c12", "_1", "-inner", " clearfix"))
         attr = f' {r.choice(("class", "class", "id"))}="{name}"' if name else ""
         self.out.append(f"<{tag}{attr}>")
@@ -96,7 +109,7 @@ class _Writer:
             kind = r.random()
             if main and kind < 0.05:
                 self.out.append(r.choice(("<h2>", "<h3>")))
-                self.text(True, 1, 8)
+                self.text(True, 1, 8, "Comment on|Related|Contact between|The main" if r.random() < 0.1 else "")
                 self.out.append(self.out[-2].replace("<", "</"))
             elif main and kind < 0.1:
                 self.out.append("<ul>")
@@ -126,8 +139,11 @@ class _Writer:
             elif main and kind < 0.23:
                 self.text(True, 3, long)
                 self.out.append("<br><br>")
+            elif main and kind < 0.25 and not self.opaque:
+                self.box("p", "ad ads advert sponsor promo advertisement sponsored notice newsletter subscribe", lambda: self.text(False, 2, 12), sure=True)
             else:
-                self.out.append("<p><b>" if r.random() < 0.15 else "<p>")
+                harmless = main and r.random() < 0.06
+                self.out.append(f"<p class={r.choice(('lead', 'intro', 'text', 'p1', 'first', 'dropcap'))}>" if harmless else "<p><b>" if r.random() < 0.15 else "<p>")
                 self.text(main, 1, long)
                 self.out.append(r.choice(("</p>", "</p>", "</p>", "<br>", "")))
 
@@ -138,10 +154,10 @@ def training_page(rng: random.Random) -> str:
     pick, chance = rng.choice, rng.random
 
     def advert():
-        w.box(pick(("div", "div", "aside", "section", "p")), "ad ads advert adsense sponsor promo banner sponsored advertisement", lambda: w.text(False, 2, 40))
+        w.box(pick(("div", "div", "aside", "section", "p")), "ad ads advert adsense sponsor promo banner sponsored advertisement", lambda: w.text(False, 2, 40, "Advertisement|Sponsored|Ad|Promoted"))
 
     def notice():
-        w.box(pick(("div", "section", "aside", "p")), "cookie cookie-notice consent notice alert popup gdpr newsletter subscribe", lambda: w.paragraphs(False, 1, 2, 30) if chance() < 0.5 else w.text(False, 3, 30))
+        w.box(pick(("div", "section", "aside", "p")), "cookie cookie-notice consent notice alert popup gdpr newsletter subscribe", lambda: w.paragraphs(False, 1, 2, 30) if chance() < 0.5 else w.text(False, 3, 30, "Subscribe|This site uses cookies|Newsletter|We value your consent"))
 
     def form():
         w.box("form", "search login signup subscribe contact", lambda: (w.text(False, 1, 5), w.out.append("<label>"), w.text(False, 1, 4), w.out.append("</label><input name=q><button>go</button>")))
@@ -156,30 +172,36 @@ def training_page(rng: random.Random) -> str:
         w.box(pick(("nav", "nav", "nav", "div", "ul")), "nav menu navigation navbar breadcrumb topbar", lambda: w.links(False))
 
     def aside():
-        w.box(pick(("aside", "aside", "div", "section")), "sidebar side related widget popular rail recommended", lambda: (w.out.append("<h3>"), w.text(False, 1, 4), w.out.append("</h3>"), pick((lambda: w.links(False), lambda: w.paragraphs(False, 1, 3, 30)))()))
+        w.box(pick(("aside", "aside", "div", "section")), "sidebar side related widget popular rail recommended", lambda: (w.heading("Related stories|Popular|Recommended|Trending now|Related"), pick((lambda: w.links(False), lambda: w.paragraphs(False, 1, 3, 30)))()))
 
     def footer():
-        w.box(pick(("footer", "footer", "footer", "div")), "footer bottom copyright legal site-footer colophon", lambda: pick((lambda: w.text(False, 2, 30), lambda: w.paragraphs(False, 1, 3, 20), lambda: w.links(False)))())
+        w.box(pick(("footer", "footer", "footer", "div")), "footer bottom copyright legal site-footer colophon", lambda: pick((lambda: w.text(False, 2, 30, "Copyright 2024|©|All rights reserved"), lambda: w.paragraphs(False, 1, 3, 20), lambda: w.links(False)))())
 
     def comments():
         def one():
             w.box(pick(("li", "div", "article", "p")), "comment reply", lambda: w.paragraphs(False, 1, 2, 50) if chance() < 0.5 else w.text(False, 2, 50))
 
-        w.box(pick(("section", "div", "ol", "div")), "comments commentlist comment-list discussion respond replies", lambda: (w.out.append("<h3>"), w.text(False, 1, 3), w.out.append("</h3>"), [one() for _ in range(rng.randint(1, 6))]))
+        w.box(pick(("section", "div", "ol", "div")), "comments commentlist comment-list discussion respond replies", lambda: (w.heading("Comments|3 comments|Reader comments|Discussion|Replies|Leave a reply"), [one() for _ in range(rng.randint(1, 6))]))
+
+    def related():
+        """Links to other pages under a heading, in a box without a name or in none."""
+        boxed = chance() < 0.6
+        said = lambda: (w.heading("Related stories|Read more|Related|More stories|You may also like"), w.links(False, 2, 6))
+        w.box(pick(("section", "div")), "", said) if boxed else said()
 
     def inside():
         if chance() < 0.85:
             wrapped = chance() < 0.1
-            w.out.append("<header><h1>" if wrapped else "<h1>")
+            w.out.append("<header><h1>" if wrapped else pick(("<h1>", "<h1>", "<h1 class=title>", "<h1 class='entry-title headline'>")))
             w.text(True, 1, 12)
             w.out.append("</h1></header>" if wrapped else "</h1>")
         long = pick((8, 30, 60, 150))
-        w.paragraphs(True, 1, pick((1, 3, 8, 20, 40)), long)
-        for part, often in ((advert, 0.15), (share, 0.1), (form, 0.08), (notice, 0.08), (aside, 0.08), (nav, 0.03)):
+        w.paragraphs(True, 1, pick((1, 3, 8, 20, 40, 90)), long)
+        for part, often in ((advert, 0.15), (share, 0.1), (form, 0.08), (notice, 0.08), (aside, 0.08), (nav, 0.03), (related, 0.08)):
             if chance() < often:
                 part()
                 if chance() < 0.6:
-                    w.paragraphs(True, 1, 4, long)
+                    w.paragraphs(True, 1, pick((4, 4, 40)), long)
         if chance() < 0.08:
             comments()
         if chance() < 0.06:
@@ -240,7 +262,7 @@ def training_rows(pages: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 
 @lru_cache(maxsize=2)
 def trained(pages: int = TRAIN_PAGES, seed: int = SEED) -> Trees:
-    return fit(*training_rows(pages, seed))
+    return fit(*training_rows(pages, seed), rounds=100, depth=5, share=0.6)
 
 
 def extract_texts(pages: list[str], trees: Trees) -> list[str]:

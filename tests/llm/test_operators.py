@@ -62,6 +62,46 @@ def test_generated_pages_are_read_right():
     assert right >= 60
 
 
+PARAGRAPH = "The river rose quickly that spring, and the town council met to discuss the old bridge."
+ARTICLE = "<h1>Flood report</h1>" + f"<p>{PARAGRAPH}</p>" * 5
+WRITTEN = " ".join(["Flood report", *[PARAGRAPH] * 5])
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class='content'>{ARTICLE}</div><div id='footer'>Copyright 2024 The Herald</div></body>",
+        f"<body><nav><a href=/>Home</a> <a href=/n>News</a></nav><article>{ARTICLE}<section><h3>Related stories</h3><ul><li><a href=/a>Other flood</a><li><a href=/b>Rain</a></ul></section></article></body>",
+        f"<body><div class=x0><a href=/>Home</a> <a href=/n>News</a></div><div class=x1>{ARTICLE}</div><div class=x2><div><b>Ann</b><p>Nice one</p></div><div><b>Bob</b><p>I disagree</p></div></div></body>",
+        f"<body><header><p>The Herald</p></header><main>{ARTICLE}</main><div class=x2><h3>3 Comments</h3><div><b>Ann</b><p>Nice one</p></div><div><b>Bob</b><p>No</p></div></div></body>",
+        f"<body><div role=dialog class='cookie-banner'><p>We use cookies.</p></div><main><article>{ARTICLE}</article><aside><h2>Popular</h2><ul><li><a href=/q>A</a></ul></aside></main><footer><p>Imprint</p></footer></body>",
+    ],
+)
+def test_pages_written_by_hand(page):
+    assert extraction.extract_texts([page], extraction.trained()) == [WRITTEN]
+
+
+@pytest.mark.parametrize("n", [5, 30, 49, 50, 200, 1000])
+def test_adverts_go_from_flat_pages_of_any_length(n):
+    flat = f'<body><div class="content"><h1>Flood</h1>{f"<p>{PARAGRAPH}</p>" * n}<p class="advert">Buy now cheap</p>{f"<p>{PARAGRAPH}</p>" * n}</div></body>'
+    assert extraction.extract_texts([flat], extraction.trained()) == [" ".join(["Flood", *[PARAGRAPH] * (2 * n)])]
+
+
+def test_decoder_equals_exhaustive_search():
+    r = np.random.default_rng(3)
+    for _ in range(200):
+        n = int(r.integers(1, 10))
+        nodes = [extraction.parse("").nodes[0]] + [type(extraction.parse("").nodes[0])("p", int(r.integers(0, i)), 0, frozenset()) for i in range(1, n)]
+        logits = r.normal(0, 2, n)
+        found = extraction.decode(extraction.Page(nodes, []), logits)
+        gain = logits.copy()
+        gain[0] = max(gain[0], 0.0)
+        closed = [s for s in range(2**n) if all(not s >> i & 1 or s >> nodes[i].parent & 1 for i in range(1, n))]
+        total = lambda s: sum(gain[i] for i in range(n) if s >> i & 1)
+        assert abs(max(map(total, closed)) - gain[found].sum()) < 1e-9
+        assert all(not found[i] or found[nodes[i].parent] for i in range(1, n))
+
+
 def test_places_are_exact_among_many_siblings():
     page = extraction.parse("<body><h1>" + "long " * 300 + "</h1><div>" + "".join(f"<p>{'word ' * (1 + 7 * k % 40)}</p>" for k in range(120)) + "</div></body>")
     found = extraction.features(page)
