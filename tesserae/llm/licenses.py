@@ -39,6 +39,13 @@ NOTICES = (
     ("redistribution and use in source and binary forms with or without modification are permitted", "bsd-notice"),
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2.0"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc-notice"),
+    ("this software is provided as is without any express or implied warranty in no event will the authors be held liable", "zlib-notice"),
+    ("distributed under the boost software license version 1 0", "bsl-1.0"),
+    ("under the terms of the gnu lesser general public license as published by the free software foundation", "lgpl-notice"),
+    ("under the terms of the gnu affero general public license as published by the free software foundation", "agpl-notice"),
+    ("licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa-4.0"),
+    ("spdx license identifier", "spdx"),
 )
 #: One edit is allowed for so many characters of a notice.
 CHARS_PER_EDIT = 12

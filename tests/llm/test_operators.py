@@ -261,9 +261,49 @@ def test_every_language_counts_and_both_ways_agree(spark, docs, monkeypatch):
             assert sorted(map(tuple, language.predict(table).collect()), key=str) == whole
 
 
+def test_decoding_equals_exhaustive_search():
+    import itertools
+
+    r = random.Random(5)
+    model = language.Model([("a", "x", 1), ("b", "y", 1), ("c", "z", 1)])
+    vocabulary = [f"w{i}" for i in range(12)]
+    model.cache = {w: i for i, w in enumerate(vocabulary)}
+    model.known = np.array([[r.choice((0.0, -2.5, -5.0, language.CLIP, -7.25)) for _ in range(3)] for _ in vocabulary])
+    texts = [[r.choice(vocabulary) for _ in range(r.randint(1, 7))] for _ in range(60)] + [[]]
+    worth = lambda words, path: sum(model.known[model.cache[w], x] for w, x in zip(words, path)) - language.SWITCH * sum(x != y for x, y in zip(path, path[1:]))
+    for words_, got in zip(texts, model.label(texts)):
+        best = max(worth(words_, path) for path in itertools.product(range(3), repeat=len(words_)))
+        assert len(got) == len(words_) and abs(worth(words_, got.tolist()) - best) < 1e-9
+    long = ["w0"] * 9 + ["w1"] * 9  # spans long enough to be worth a switch
+    model.known[:2] = [[0, -8, -8], [-8, 0, -8]]
+    assert model.label([long])[0].tolist() == [0] * 9 + [1] * 9
+
+
 # 4
 
 
+def test_base_phrases_equal_a_plain_loop(spark):
+    r = random.Random(6)
+    pool = "MIT mit License license, apache Apache-license general public General gnu é license2 the".split()
+    texts = [" ".join(r.choice(pool) + r.choice(("", "", ".", "\n")) for _ in range(r.randint(0, 60))) for _ in range(150)] + [None, "", "mit", "MIT\tLICENSE", "mitlicense", "mit license license mit license"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {g["doc_id"]: g for g in licenses.license_digest(rows).collect()}
+    for i, text in enumerate(texts):
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+        at = [(k, label) for k in range(len(own)) for phrase, label in licenses.BASE.items() if own[k : k + len(phrase.split())] == phrase.split()]
+        places = [k for k, _ in at]
+        want = (len(own), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at})))
+        assert tuple(got[i][c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels")) == want
+
+
+def test_lesser_and_affero_notices_are_told_apart():
+    begin, end = "under the terms of the gnu ", " general public license as published by the free software foundation"
+    for kind, label in (("lesser", "lgpl-notice"), ("affero", "agpl-notice"), ("leser", "lgpl-notice")):
+        assert label in {f[0] for f in licenses.find_notices(begin + kind + end)}
+    assert [f[0] for f in licenses.find_notices("spdx licence identifier mit")] == ["spdx"]
+
+
 def test_licenses(docs, empty):
     found = {r["doc_id"]: r for r in licenses.license_digest(docs).collect()}
     last = max(found)

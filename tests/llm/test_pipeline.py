@@ -4,7 +4,7 @@ from collections import Counter
 
 from tesserae.llm import common
 from tests.conftest import DATA
-from tests.llm.test_operators import brute_components, words
+from tests.llm.test_operators import brute_components, docs, empty, words  # noqa: F401
 
 
 def test_stages(spark):
@@ -24,8 +24,36 @@ def test_stages(spark):
     assert {r["doc_id"] for r in kept[5].collect()} == set(ids[4])
 
 
+def test_stages_take_nulls_clashes_and_nothing(spark, docs, empty):
+    """Each stage over odd rows with clashing columns, and over none: the columns stay, nothing is made up."""
+    import corpus_pipeline as p
+
+    texts = {r["text"] for r in docs.collect()}
+    for i, (name, stage) in enumerate(p.STAGES):
+        found, nothing = stage(spark, docs, DATA), stage(spark, empty, DATA)
+        assert nothing.count() == 0, name
+        if i < len(p.STAGES) - 1:
+            assert found.columns == docs.columns and nothing.columns == docs.columns, name
+            if name != "mixing":  # which cuts the last row of a source
+                assert {r["text"] for r in found.collect()} <= texts, name
+
+
+def test_queries_equal_sql(spark):
+    import duckdb
+
+    from tesserae.llm.queries import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    for name in ("op2_bottomk_neardup", "op7_jump_sharding", "op8_source_mixing"):
+        got, want = QUERIES[name](spark, DATA).toPandas(), con.execute(ORACLE_SQL[name]).df()
+        rows = lambda df: sorted(tuple(str(v) for v in r) for r in df[sorted(df.columns)].itertuples(index=False))
+        assert rows(got) == rows(want) and len(got), name
+
+
 def test_registered():
     import __spark_entry__ as e
 
-    assert [n for n in e.queries() if n.startswith("op")] == [n for n in e.queries() if n.startswith("op")] and "pipeline" in e.queries()
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in e.queries() if n.startswith("op")}
+    names = [n for n in e.queries() if n.startswith("op")]
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} and len(names) == 10
+    assert "pipeline" in e.queries() and set(e.oracle_sql()) <= set(e.queries())
