@@ -209,6 +209,34 @@ def test_pairs_of_several_keys_are_made_once(spark):
     assert got == sorted(map(tuple, plain.distinct().collect())) == [("a", "x", "S2"), ("a", "y", "S2")]
 
 
+def test_a_key_is_listed_where_it_makes_pairs(spark):
+    """One list for each reference id serves all sources; a source's records keep no key that the reference lacks or that counts for another source alone."""
+    from tesserae.operators import blocking as B
+
+    schema = "entity_id string, business_name_norm string, business_name_core string, business_address_norm string"
+    s1 = spark.createDataFrame([("a", "tool shop", "tool", "")], schema)
+    s2 = spark.createDataFrame([("x", "tool shop", "tool", ""), ("y", "tool none", "none", "")], schema)
+    s3 = spark.createDataFrame([("z", "shop none", "tool", ""), ("w", "shop", "", "")], schema)
+    kept = {(r["_id"], r["candidate_source"]): r["_keys"] for r in B.sides(s1, {"S2": s2, "S3": s3}).collect()}
+    assert kept == {("a", None): ["0shop", "0tool", "3tool", "4tool shop"], ("x", "S2"): ["0tool", "3tool", "4tool shop"], ("y", "S2"): ["0tool"], ("z", "S3"): ["0shop", "3tool"], ("w", "S3"): ["0shop"]}
+    pairs = sorted(map(tuple, B.all_passes(s1, {"S2": s2, "S3": s3}).collect()))
+    assert pairs == [("a", "w", "S3"), ("a", "x", "S2"), ("a", "y", "S2"), ("a", "z", "S3")]
+
+
+@pytest.mark.parametrize("name", ("pair_records",))
+def test_a_side_reads_its_own_records_alone(spark, name):
+    """The kept tables that the plan reads: the keys and the records of either side, and the list of true pairs where is_match is asked for."""
+    kept, inside = [], None
+    for line in QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if inside is None or depth <= inside:  # below it stands how a kept table is made
+            inside = depth if "InMemoryRelation" in line else None
+            kept += [line] if "InMemoryRelation" in line else []
+    records = [x for x in kept if "business_name_norm" in x]
+    assert len(records) == 3 and len([x for x in kept if "_keys" in x]) == 2
+    assert len([x for x in kept if "matched" in x]) == (name == "pair_records")
+
+
 @pytest.fixture(scope="module")
 def repeated(tmp_path_factory):
     """Customers twice, the last key of the first copy being the first of the second: records and true pairs come twice."""
