@@ -223,7 +223,7 @@ def test_a_key_is_listed_where_it_makes_pairs(spark):
     assert pairs == [("a", "w", "S3"), ("a", "x", "S2"), ("a", "y", "S2"), ("a", "z", "S3")]
 
 
-@pytest.mark.parametrize("name", ("pair_records", "features_country", "features_interaction", "features_name", "features_numeric"))
+@pytest.mark.parametrize("name", ("pair_records", "features_country", "features_interaction", "features_name", "features_numeric", "sim_containment"))
 def test_a_side_reads_its_own_records_alone(spark, name):
     """The kept tables that the plan reads: the keys and the records of either side, and the list of true pairs where is_match is asked for."""
     kept, inside = [], None
