@@ -15,6 +15,12 @@ def id_lists(pairs: DataFrame, ids: DataFrame, targets: DataFrame | None, out: s
     return ids.select("source1_entity_id").join(lists, "source1_entity_id", "left").select("source1_entity_id", F.coalesce(out, F.lit("")).alias(out))
 
 
+def joined_lists(found: DataFrame, ids: DataFrame, out: str) -> DataFrame:
+    """The same from rows that hold several known ids of a reference id each (source1_entity_id, _found)."""
+    every = found.groupBy("source1_entity_id").agg(F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_list("_found")))), ",").alias(out))
+    return ids.select("source1_entity_id").join(every, "source1_entity_id", "left").select("source1_entity_id", F.coalesce(out, F.lit("")).alias(out))
+
+
 def matching_results(pairs: DataFrame, ids: DataFrame, targets: DataFrame | None) -> DataFrame:
     return id_lists(pairs, ids, targets, "matched_entity_ids")
 

@@ -262,3 +262,64 @@ def test_shared_elements(spark):
     df = spark.createDataFrame([(a, b[::2] + ["x"]) for a in words for b in words], "a array<string>, b array<string>")
     got = df.select(S.shared(F.col("a"), F.col("b")).alias("n"), F.size(F.array_intersect("a", "b")).alias("m"), S.jaccard(F.col("a"), F.col("b"), S.shared(F.col("a"), F.col("b"))).alias("j"), S.jaccard(F.col("a"), F.col("b")).alias("k"))
     assert got.where("n <> m or j <> k").isEmpty()
+
+
+IN_BLOCKS = ("sim_jaccard", "sim_common", "sim_overlap", "sim_containment")
+
+
+@pytest.mark.parametrize("name", IN_BLOCKS)
+def test_pairs_are_worked_on_in_blocks(spark, name):
+    """No expression of the engine takes a pair's word lists or rounds its values: both cost more than all else of a pair."""
+    above = _above_pairs(QUERIES[name](spark, DATA))
+    blocks = [i for i, line in enumerate(above) if "MapInArrow" in line]
+    assert blocks and not [line for line in above if "array_contains" in line or "arrays_overlap" in line]
+    assert name in FOLDED or not [line for line in above if "round(" in line]
+
+
+ODD = ("", " ", "a", "acme  tool\x1cshop", "tool acme tool", "café ١٢٣ 12", "12 12 345, 7a89 345", "x" * 70 + " 12", "x" * 64 + " y", " ".join(f"w{i}" for i in range(40)), " ".join(f"w{i}" for i in range(20, 70)), " acme tool")
+
+
+def test_blocks_equal_columns(spark):
+    from tesserae.operators import blocks as K
+    from tesserae.operators import features as V
+    from tesserae.operators import model as L
+
+    fields = [f"{f}_{{}} string" for f in ("business_name_norm", "business_name_core", "business_address_norm", "country_norm")]
+    schema = lambda ids, n: ", ".join([ids, "_keys array<string>", *fields]).format(*[n] * 4)
+    left = spark.createDataFrame([(f"S1-{i:02}", ["0k"], x, x[:9], ODD[-1 - i], x[:3]) for i, x in enumerate(ODD)], schema("source1_entity_id string", 1))
+    right = spark.createDataFrame([(f"S2-{i:02}", "S2", ["0k"], x, x[:9], ODD[i - 3], x[:3]) for i, x in enumerate(ODD)], schema("candidate_entity_id string, candidate_source string", 2))
+    rows = left.drop("_keys").join(right.drop("_keys"))
+    made = V.name_features() | V.address_features() | V.numeric_features() | V.country_features() | V.interaction_features()
+    names = sorted(n for n in made if not n.endswith(("jaro_winkler", "partial_ratio")))
+    scored = L.linear_score(V.features(rows, as_float=False)).select("source1_entity_id", "candidate_entity_id", "probability")
+    plain = V.with_scores(rows).select("source1_entity_id", "candidate_entity_id", *[F.round(made[n].cast("double"), 6).alias(n) for n in names]).join(scored, ["source1_entity_id", "candidate_entity_id"])
+    got = K.met(left, right, {c: c for c in plain.columns}).select(*[F.col(c).cast(t) for c, t in plain.dtypes])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect())) and got.count() == len(ODD) ** 2
+
+
+def test_rounding_equals_the_engines(spark):
+    import numpy as np
+
+    from tesserae.operators import blocks as K
+
+    values = np.concatenate((np.arange(1, 4000) / 64.0**3, np.random.default_rng(7).random(4000), (np.arange(4000) * 2 + 1) / 2e6, (np.arange(4000) * 2 + 1) / 3 / 2e6, [0.0, 1.0, 17.0]))
+    want = [r[0] for r in spark.createDataFrame([(float(v),) for v in values], "v double").select(F.round("v", 6)).collect()]
+    assert K.rounded(values).tolist() == want
+
+
+def test_chunks_hold_all_pairs(spark, con, monkeypatch):
+    """Blocks and chunks of a few records: keys with more pairs than a chunk and rows with more records than a block are cut, none is lost."""
+    import pyarrow as pa
+
+    from tesserae.operators import blocks as K
+
+    monkeypatch.setattr(K, "CHUNK", 5), monkeypatch.setattr(K, "RECORDS", 4)
+    one = lambda prefix, n, before: [{"_id": f"{prefix}{i}", "_before": before if i % 2 else []} for i in range(n)]
+    batch = pa.RecordBatch.from_pydict({"_left": [one("a", 7, ["k"]), one("b", 1, []), one("c", 2, [])], "_right": [one("x", 9, ["k"]), one("y", 2, ["k"]), one("z", 1, [])]}, schema=pa.schema([(n, pa.list_(pa.struct([("_id", pa.string()), ("_before", pa.list_(pa.string()))]))) for n in ("_left", "_right")]))
+    got = []
+    for rows in K._slices(batch):
+        block = K.Block(rows)
+        for chunk in block.chunks():
+            got += zip(block.left["_id"].take(pa.array(chunk.left)).to_pylist(), block.right["_id"].take(pa.array(chunk.right)).to_pylist())
+    want = [(f"a{i}", f"x{j}") for i in range(7) for j in range(9) if not (i % 2 and j % 2)] + [("b0", "y0"), ("b0", "y1"), ("c0", "z0"), ("c1", "z0")]
+    assert sorted(got) == sorted(want)
