@@ -264,7 +264,7 @@ def test_shared_elements(spark):
     assert got.where("n <> m or j <> k").isEmpty()
 
 
-IN_BLOCKS = ("sim_jaccard", "sim_common", "sim_overlap", "sim_containment", "features_interaction", "features_name", "features_address", "features_numeric", "entity_eval", "macro_f05", "predictions_at", "matching_results")
+IN_BLOCKS = ("sim_jaccard", "sim_common", "sim_overlap", "sim_containment", "features_interaction", "features_name", "features_address", "features_numeric", "entity_eval", "macro_f05", "predictions_at", "matching_results", "linear_score", "errors_fp")
 
 
 @pytest.mark.parametrize("name", IN_BLOCKS)
