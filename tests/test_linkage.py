@@ -323,3 +323,8 @@ def test_chunks_hold_all_pairs(spark, con, monkeypatch):
             got += zip(block.left["_id"].take(pa.array(chunk.left)).to_pylist(), block.right["_id"].take(pa.array(chunk.right)).to_pylist())
     want = [(f"a{i}", f"x{j}") for i in range(7) for j in range(9) if not (i % 2 and j % 2)] + [("b0", "y0"), ("b0", "y1"), ("c0", "z0"), ("c1", "z0")]
     assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("name", ("linear_score", "sim_common", "matching_results"))
+def test_repeated_pairs_of_blocks_equal_sql(spark, repeated, name):
+    test_repeated_records_equal_sql(spark, repeated, name)
